@@ -55,6 +55,21 @@ TERMS = {
 RULES = TermRules(TERMS)
 CLOSED_RULES = TermRules(TERMS, closed=True)
 
+# A weaker second engine to measure against the stored categories: one term per category.
+SECOND_RULES = TermRules(
+    {
+        "contact": {"Email": ["@mail3"], "Phone": ["+"]},
+        "abusive_words": {"Insult": ["idiot"], "Contempt": ["trash"]},
+        "language": {
+            "English": [" the "],
+            "German": [" der "],
+            "Spanish": [" los "],
+            "French": [" les "],
+        },
+    },
+    closed=True,
+)
+
 LANGUAGE_LABELS = {"en": "English", "de": "German", "es": "Spanish", "fr": "French"}
 
 

@@ -118,10 +118,10 @@ mixed AS (
 )"""
 
 READABLE = """
-texts AS (
-  SELECT case_id, subject, domain FROM cases CROSS JOIN domains
-  WHERE subject IS NOT NULL AND trim(subject) <> ''
-)"""
+readable AS MATERIALIZED (
+  SELECT case_id, subject FROM cases WHERE subject IS NOT NULL AND trim(subject) <> ''
+),
+texts AS (SELECT case_id, subject, domain FROM readable CROSS JOIN domains)"""
 
 # The white space that a strip removes, as a character list for trim().
 _SPACE = " || ".join(
@@ -175,12 +175,12 @@ def _requests(first: int, before: str, after: str) -> str:
     return (
         _with(CASES, READABLE, CHOICES)
         + f"""
-SELECT t.case_id, t.domain, {_strip("t.subject")} AS state,
-       '{before}' || replace(t.domain, '_', ' ') || '{after}' AS instructions, c.criteria
-FROM texts t JOIN (
+SELECT t.case_id, c.domain, {_strip("t.subject")} AS state,
+       '{before}' || replace(c.domain, '_', ' ') || '{after}' AS instructions, c.criteria
+FROM readable t CROSS JOIN (
   SELECT domain, string_agg(line, chr(10) ORDER BY ord) AS criteria FROM described
   WHERE ord >= {first} GROUP BY domain
-) c ON t.domain = c.domain"""
+) c"""
     )
 
 
@@ -452,13 +452,13 @@ FROM hits WHERE subject IS NOT NULL""",
     ),
     "build_prompts": _with(CASES, READABLE, CHOICES)
     + f"""
-SELECT t.case_id, t.domain,
-       'Domain: ' || upper(replace(t.domain, '_', ' ')) || ' (' || replace(t.domain, '_', ' ') || ')'
+SELECT t.case_id, b.domain,
+       'Domain: ' || upper(replace(b.domain, '_', ' ')) || ' (' || replace(b.domain, '_', ' ') || ')'
        || chr(10) || b.bullets || chr(10) || 'Answer with one of these or NO_APLICA.' || chr(10)
        || 'Text: "' || {_strip("t.subject")} || '"' || chr(10) || 'Respuesta:' AS prompt
-FROM texts t JOIN (
+FROM readable t CROSS JOIN (
   SELECT domain, string_agg('- ' || category, chr(10) ORDER BY ord) AS bullets
-  FROM choices GROUP BY domain) b ON t.domain = b.domain""",
+  FROM choices GROUP BY domain) b""",
     "engine_windows": ON_CASES
     + f"""
 SELECT case_id, length(subject) AS n_chars,
@@ -564,10 +564,27 @@ FROM drawn WHERE rn <= quota""",
 SELECT case_id, domain, original_category, predicted, match, round(confidence, 4) AS confidence,
        round(margin, 4) AS margin FROM evaluated""",
     "evaluate_sample": _with(CASES, HITS, _outcomes(_METHOD), _SAMPLE)
-    + """
-SELECT domain, category AS original_category, count(*) AS total, count(*) AS matches,
-       100.0 AS agreement_pct
-FROM drawn WHERE rn <= quota GROUP BY domain, category""",
+    + f"""
+SELECT domain, category AS original_category, {_AGREEMENT} FROM (
+  SELECT domain, category, category = CASE
+           WHEN domain = 'licence' AND contains(t, 'gnu general public license') THEN 'GNU General Public License'
+           WHEN domain = 'licence' AND contains(t, 'mit license') THEN 'MIT License'
+           WHEN domain = 'licence' AND contains(t, 'apache license') THEN 'Apache License'
+           WHEN domain = 'licence' AND contains(t, 'license') THEN 'License'
+           WHEN domain = 'licence' THEN 'GNU General Public License'
+           WHEN domain = 'contact' AND contains(t, '@mail3') THEN 'Email'
+           WHEN domain = 'contact' AND contains(t, '+') THEN 'Phone'
+           WHEN domain = 'contact' THEN 'Email'
+           WHEN domain = 'abusive_words' AND contains(t, 'idiot') THEN 'Insult'
+           WHEN domain = 'abusive_words' AND contains(t, 'trash') THEN 'Contempt'
+           WHEN domain = 'abusive_words' THEN 'Insult'
+           WHEN contains(t, ' the ') THEN 'English'
+           WHEN contains(t, ' der ') THEN 'German'
+           WHEN contains(t, ' los ') THEN 'Spanish'
+           WHEN contains(t, ' les ') THEN 'French'
+           ELSE 'English' END AS match
+  FROM (SELECT *, lower(subject) AS t FROM drawn WHERE rn <= quota))
+GROUP BY domain, category""",
     "agreement_global": ON_EVALUATION
     + f"""
 SELECT {_AGREEMENT}, round(avg(round(confidence, 4)), 4) AS mean_confidence FROM evaluated""",
