@@ -277,7 +277,7 @@ class CallableEngine:
             rows = rows.repartition(self.concurrency, "case_id", "domain")
         kept = ["case_id", "domain", *keep]
         schema = T.StructType([*[rows.schema[c] for c in kept], *SCORE_FIELDS])
-        score_batch = _Scorer(self.batch_rows, self.retries, self.wait_s, tuple(kept))
+        score_batch = _batch_scorer(self.batch_rows, self.retries, self.wait_s, kept)
         factory = self.factory
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -288,52 +288,50 @@ class CallableEngine:
         return rows.mapInPandas(run, schema)
 
 
-@dataclass(frozen=True)
-class _Scorer:
-    """Applies a scorer to one Arrow batch with bounded retries."""
-
-    batch_rows: int
-    retries: int
-    wait_s: float
-    kept: tuple[str, ...]
-
-    def __call__(self, predict: Predict, batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        for start in range(0, len(batch), self.batch_rows):
-            part = batch.iloc[start : start + self.batch_rows]
-            results, error, elapsed = self._attempt(predict, part)
-            if error is None:
-                outcomes = [(r, None, elapsed / len(part)) for r in results]
-            elif len(part) == 1:
-                outcomes = [(None, error, elapsed)]
-            else:
-                outcomes = []
-                for i in range(len(part)):
-                    one, row_error, row_elapsed = self._attempt(predict, part.iloc[i : i + 1])
-                    outcomes.append((one[0] if one else None, row_error, row_elapsed))
-            yield self._frame(part, outcomes)
-
-    def _attempt(self, predict: Predict, part: pd.DataFrame):
+def _batch_scorer(batch_rows: int, retries: int, wait_s: float, kept: Sequence[str]):
+    """A function that applies a scorer to one Arrow batch with bounded retries.
+
+    It is made of nested functions only, so it travels to the executors by value.
+    """
+
+    def attempt(predict, part):
         started = time.perf_counter()
         error = None
-        for attempt in range(self.retries + 1):
+        for trial in range(retries + 1):
             try:
                 results = list(predict(part))
                 if len(results) != len(part):
                     raise ValueError(f"{len(results)} answers for {len(part)} rows")
                 return results, None, time.perf_counter() - started
             except Exception as problem:  # noqa: BLE001 - a failing scorer must not fail the job
-                error = str(problem)
-                if attempt < self.retries:
-                    time.sleep(getattr(problem, "retry_after", self.wait_s * (attempt + 1)))
+                error = str(problem) or type(problem).__name__
+                if trial < retries:
+                    time.sleep(getattr(problem, "retry_after", wait_s * (trial + 1)))
         return None, error, time.perf_counter() - started
 
-    def _frame(self, part: pd.DataFrame, outcomes: list) -> pd.DataFrame:
+    def score_part(predict, part):
+        """One (item, error, seconds) per row; a failing part is tried again row by row."""
+        results, error, elapsed = attempt(predict, part)
+        if error is None:
+            return [(item, None, elapsed / len(part)) for item in results]
+        if len(part) == 1:
+            return [(None, error, elapsed)]
+        return [score_part(predict, part.iloc[i : i + 1])[0] for i in range(len(part))]
+
+    def frame(part, outcomes):
         items = [r if isinstance(r, dict) else {"answer": r} for r, _, _ in outcomes]
-        frame = part[list(self.kept)].reset_index(drop=True)
+        out = part[list(kept)].reset_index(drop=True)
         for name in ("answer", "confidence", "margin", "probabilities"):
-            frame[name] = pd.Series([item.get(name) for item in items], dtype=object)
+            out[name] = pd.Series([item.get(name) for item in items], dtype=object)
         for name in ("confidence", "margin"):
-            frame[name] = frame[name].astype("Float64")
-        frame["latency_s"] = [seconds for _, _, seconds in outcomes]
-        frame["error"] = pd.Series([e for _, e, _ in outcomes], dtype=object)
-        return frame
+            out[name] = out[name].astype("Float64")
+        out["latency_s"] = [seconds for _, _, seconds in outcomes]
+        out["error"] = pd.Series([e for _, e, _ in outcomes], dtype=object)
+        return out
+
+    def score_batch(predict, batch):
+        for start in range(0, len(batch), batch_rows):
+            part = batch.iloc[start : start + batch_rows]
+            yield frame(part, score_part(predict, part))
+
+    return score_batch

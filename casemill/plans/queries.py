@@ -316,7 +316,7 @@ def apply_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _word_scorer():
-    """A Python scorer that cannot handle tables: those texts fail and stay pending."""
+    """A factory of a Python scorer that cannot handle tables: those texts fail and stay pending."""
     terms = {
         d.name: [
             (c, [t.lower() for t in b.TERMS.get(d.name, {}).get(c, [c])]) for c in d.categories
@@ -336,11 +336,11 @@ def _word_scorer():
             raise ValueError("tables are not supported")
         return [answer(d, s) for d, s in zip(batch["domain"], batch["subject"], strict=True)]
 
-    return predict
+    return lambda: predict
 
 
 def classify_callable(spark: SparkSession, sf_dir: str) -> DataFrame:
-    engine = CallableEngine(_word_scorer, retries=0, batch_rows=50)
+    engine = CallableEngine(_word_scorer(), retries=0, batch_rows=50)
     return cascade.classify_in_passes(
         b.status(spark, sf_dir), b.texts_of(spark, sf_dir), b.DOMAINS, engine, max_passes=2
     )
