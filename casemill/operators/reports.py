@@ -231,10 +231,13 @@ def metrics_report(cases: DataFrame, status: DataFrame) -> DataFrame:
             F.sum("n").alias("total"),
         )
     )
+    # Keeping rows by an aggregate, not by the grouping key, leaves the scan as it is, so that
+    # the totals and the breakdown share one scan of the status rows.
     breakdown = _with_category_shares(
-        status_groups.filter(_has_category())
-        .groupBy("domain", "category")
-        .agg(F.sum("n").alias("total"))
+        status_groups.groupBy("domain", "category")
+        .agg(F.sum("n").alias("total"), F.count("category").alias("known"))
+        .filter("known > 0")
+        .drop("known")
     )
 
     def section(name: str, df: DataFrame, domain: Column, label: Column, pct: Column) -> DataFrame:
