@@ -14,15 +14,15 @@ from pyspark.sql import functions as F
 from casemill.fixed_values import METHOD_BLANK, METHOD_KEYWORDS, NOT_APPLICABLE
 from casemill.functions.text import any_keyword, has_text, is_blank
 from casemill.operators.engines import TermRules
+from casemill.operators.status import rewrite
 from casemill.operators.taxonomy import Domain, by_domain
-from casemill.schema import STATUS
 from casemill.session import durable
 
 
 def mark_blank(status: DataFrame, cases: DataFrame) -> DataFrame:
     """Pending rows of cases with a blank subject are done, without a category."""
     blank = cases.filter(is_blank(F.col("subject"))).select("case_id", F.lit(True).alias("_hit"))
-    return _finish(status.join(blank, "case_id", "left"), F.col("_hit"), METHOD_BLANK)
+    return _finish(status, status.join(blank, "case_id", "left"), F.col("_hit"), METHOD_BLANK)
 
 
 def keyword_misses(cases: DataFrame, domains: Sequence[Domain]) -> DataFrame:
@@ -50,17 +50,17 @@ def mark_no_keyword(
     Rows without a subject stay as they are, and so do domains without keywords.
     """
     joined = status.join(keyword_misses(cases, domains), "case_id", "left")
-    return _finish(joined, F.array_contains("missed", F.col("domain")), METHOD_KEYWORDS)
+    return _finish(status, joined, F.array_contains("missed", F.col("domain")), METHOD_KEYWORDS)
 
 
-def _finish(joined: DataFrame, condition: Column, method: str) -> DataFrame:
+def _finish(status: DataFrame, joined: DataFrame, condition: Column, method: str) -> DataFrame:
     hit = ~F.col("processed") & F.coalesce(condition, F.lit(False))
-    return joined.select(
-        "domain",
-        "case_id",
-        F.when(~hit, F.col("category")).alias("category"),
-        (F.col("processed") | hit).alias("processed"),
-        F.when(hit, method).otherwise(F.col("method")).alias("method"),
+    return rewrite(
+        joined,
+        status,
+        category=F.when(~hit, F.col("category")),
+        processed=F.col("processed") | hit,
+        method=F.when(hit, method).otherwise(F.col("method")),
     )
 
 
@@ -93,12 +93,12 @@ def apply_outcomes(status: DataFrame, answers: DataFrame, method: str) -> DataFr
     joined = status.join(given, ["case_id", "domain"], "left")
     hit = ~F.col("processed") & F.col("answer").isNotNull()
     category = F.nullif(F.col("answer"), F.lit(NOT_APPLICABLE))
-    return joined.select(
-        "domain",
-        "case_id",
-        F.when(hit, category).otherwise(F.col("category")).alias("category"),
-        (F.col("processed") | hit).alias("processed"),
-        F.when(hit, method).otherwise(F.col("method")).alias("method"),
+    return rewrite(
+        joined,
+        status,
+        category=F.when(hit, category).otherwise(F.col("category")),
+        processed=F.col("processed") | hit,
+        method=F.when(hit, method).otherwise(F.col("method")),
     )
 
 
@@ -171,12 +171,12 @@ def classify_pending(
     picked = by_domain(F.col("domain"), {n: F.col(f"_o{i}") for i, n in enumerate(outcomes)})
     rows = status.join(verdicts, "case_id", "left").withColumn("_o", picked)
     hit = ~F.col("processed") & F.col("_o").isNotNull()
-    return rows.select(
-        "domain",
-        "case_id",
-        F.when(hit, _category("_o", rules.method)).otherwise(F.col("category")).alias("category"),
-        (F.col("processed") | hit).alias("processed"),
-        F.when(hit, F.col("_o.method")).otherwise(F.col("method")).alias("method"),
+    return rewrite(
+        rows,
+        status,
+        category=F.when(hit, _category("_o", rules.method)).otherwise(F.col("category")),
+        processed=F.col("processed") | hit,
+        method=F.when(hit, F.col("_o.method")).otherwise(F.col("method")),
     )
 
 
@@ -219,4 +219,4 @@ def classify_in_passes(
         active = [r.domain for r in progress.collect() if r.answered and r.failed]
         if not active:
             break
-    return status.select(*STATUS.fieldNames())
+    return status

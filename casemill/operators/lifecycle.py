@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casemill.functions.dates import in_periods, raw_in_periods
+from casemill.operators.status import rewrite
 
 
 def _dates() -> tuple[Column, Column]:
@@ -40,12 +41,12 @@ def reset_status(
     if domains is not None:
         hit = hit & F.col("domain").isin(list(domains))
     method = F.col("method") if keep_method else F.when(~hit, F.col("method"))
-    return status.join(chosen, "case_id", "left").select(
-        "domain",
-        "case_id",
-        F.when(~hit, F.col("category")).alias("category"),
-        (F.col("processed") & ~hit).alias("processed"),
-        method.alias("method"),
+    return rewrite(
+        status.join(chosen, "case_id", "left"),
+        status,
+        category=F.when(~hit, F.col("category")),
+        processed=F.col("processed") & ~hit,
+        method=method,
     )
 
 
@@ -63,7 +64,7 @@ def purge_status(
     """The status rows that stay; ``cases`` is the master table before the purge."""
     victims = cases_in_periods(cases, prefixes).select("case_id")
     if domains is None:
-        return status.join(victims, "case_id", "left_anti")
+        return rewrite(status.join(victims, "case_id", "left_anti"), status)
     owners = status.filter(F.col("domain").isin(list(domains)))
     others = status.filter(~F.col("domain").isin(list(domains)))
-    return owners.join(victims, "case_id", "left_anti").unionByName(others)
+    return rewrite(owners.join(victims, "case_id", "left_anti"), status).unionByName(others)

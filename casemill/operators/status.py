@@ -4,18 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def seed_status(keys: DataFrame, domains: Sequence[str]) -> DataFrame:
-    """A pending row per key and domain. A projection: no join and no shuffle."""
-    return _pending(
-        keys.select("case_id", F.explode(F.array(*map(F.lit, domains))).alias("domain"))
-    )
+def seed_status(
+    keys: DataFrame, domains: Sequence[str], keep: Sequence[str] = ()
+) -> DataFrame:
+    """A pending row per key and domain. A projection: no join and no shuffle.
+
+    ``keep`` names further columns of the keys to carry along.
+    """
+    named = F.explode(F.array(*map(F.lit, domains))).alias("domain")
+    return _pending(keys.select("case_id", named, *keep), keep)
 
 
-def missing_status(keys: DataFrame, status: DataFrame, domains: Sequence[str]) -> DataFrame:
+def missing_status(
+    keys: DataFrame, status: DataFrame, domains: Sequence[str], keep: Sequence[str] = ()
+) -> DataFrame:
     """Pending rows for every (key, domain) that ``status`` lacks.
 
     Joined on the key alone, so the keys cross the network once instead of once per domain, and
@@ -34,9 +40,10 @@ def missing_status(keys: DataFrame, status: DataFrame, domains: Sequence[str]) -
         )
     )
     return _pending(
-        keys.select("case_id")
+        keys.select("case_id", *keep)
         .join(present, "case_id", "left")
-        .select("case_id", F.explode(lacking).alias("domain"))
+        .select("case_id", F.explode(lacking).alias("domain"), *keep),
+        keep,
     )
 
 
@@ -49,11 +56,19 @@ def orphan_count(status: DataFrame, cases: DataFrame) -> DataFrame:
     )
 
 
-def _pending(rows: DataFrame) -> DataFrame:
+def _pending(rows: DataFrame, keep: Sequence[str]) -> DataFrame:
     return rows.select(
         "domain",
         "case_id",
         F.lit(None).cast("string").alias("category"),
         F.lit(False).alias("processed"),
         F.lit(None).cast("string").alias("method"),
+        *keep,
+    )
+
+
+def rewrite(joined: DataFrame, status: DataFrame, **changed: Column) -> DataFrame:
+    """The status rows with some columns replaced; all others are carried through in order."""
+    return joined.select(
+        *[changed[c].alias(c) if c in changed else F.col(c) for c in status.columns]
     )

@@ -1,18 +1,21 @@
 """The whole run (P1): changed sources, load, classify, snapshot, with its gates.
 
-Tables in the store: ``cases`` (append only), ``status_pending`` and ``status_done`` (one status
-table in two parts, so a run rewrites the pending rows only), ``rejects``, ``ledger`` and
-``domains``.
+Tables in the store: ``cases`` (append only, partitioned by load), ``status_pending`` and
+``status_done`` (one status table in two parts, so a run rewrites the pending rows only),
+``rejects``, ``ledger`` and ``domains``. A status row remembers the load of its case, so that a
+run over the pending rows reads the texts of those loads only, not the whole master table.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casemill.operators.cascade import classify_in_passes, classify_pending
 from casemill.operators.engines import TermRules
@@ -23,9 +26,16 @@ from casemill.operators.taxonomy import Domain
 from casemill.schema import STATUS
 from casemill.sources.delimited import LOAD_ORDER, RAGGED, read_export
 from casemill.sources.ledger import LEDGER, changed_sources, list_sources
-from casemill.sources.store import Store, write_snapshot
+from casemill.sources.store import Part, Store, write_snapshot
 
 PENDING, DONE, CASES = "status_pending", "status_done", "cases"
+LOAD = "load_id"
+
+STORED_STATUS = T.StructType([*STATUS.fields, T.StructField(LOAD, T.StringType())])
+NO_CASES = f"case_id string, subject string, entry_date string, register_date string, {LOAD} string"
+
+# Above this many loads a run scans all texts instead of listing the loads in the plan.
+MAX_LISTED_LOADS = 10_000
 
 
 @dataclass(frozen=True)
@@ -47,16 +57,29 @@ class CycleReport:
     pending: dict[str, int] = field(default_factory=dict)
 
 
+def read_cases(store: Store) -> DataFrame:
+    return store.read(CASES, NO_CASES)
+
+
+def read_pending(store: Store) -> DataFrame:
+    return store.read(PENDING, STORED_STATUS)
+
+
+def read_done(store: Store) -> DataFrame:
+    return store.read(DONE, STORED_STATUS)
+
+
 def read_status(store: Store) -> DataFrame:
-    return store.read(DONE, STATUS).unionByName(store.read(PENDING, STATUS))
+    return read_done(store).unionByName(read_pending(store)).drop(LOAD)
 
 
-def read_cases(store: Store) -> DataFrame:
-    if CASES in store.names():
-        return store.read_merged(CASES)
-    return store.read(
-        CASES, "case_id string, subject string, entry_date string, register_date string"
-    )
+def _write_cases(store: Store, cases: DataFrame) -> Part:
+    return store.write_part(CASES, cases, partition_by=[LOAD])
+
+
+def _write_status(store: Store, name: str, status: DataFrame) -> Part:
+    """Sorted by domain and case, so a single domain skips the row groups of the others."""
+    return store.write_part(name, status, sort_by=["domain", "case_id"])
 
 
 def load_rows(
@@ -70,20 +93,20 @@ def load_rows(
     The batch is parsed once into a staging folder; counts, rejects and inserts read that.
     ``sources`` are ledger rows to record with the batch.
     """
-    spark = store.spark
     register_domains(store, domains)
-    staged = spark.read.parquet(store.write_folder("staging", tag_rejects(rows)))
+    staged = store.staged("staging", tag_rejects(rows))
     fresh = new_rows(accepted(staged), read_cases(store), [F.col(LOAD_ORDER)])
-    cases_folder = store.write_folder(CASES, fresh.drop(LOAD_ORDER, RAGGED))
-    inserted = spark.read.parquet(cases_folder)
-    seeds = seed_status(inserted, [d.name for d in domains])
+    stamped = fresh.drop(LOAD_ORDER, RAGGED).withColumn(LOAD, F.lit(uuid.uuid4().hex))
+    cases = _write_cases(store, stamped)
+    inserted = store.open_part(cases)
+    seeds = seed_status(inserted, [d.name for d in domains], keep=[LOAD])
     added = {
-        CASES: [cases_folder],
-        PENDING: [store.write_folder(PENDING, seeds)],
-        "rejects": [store.write_folder("rejects", rejected(staged))],
+        CASES: cases,
+        PENDING: _write_status(store, PENDING, seeds),
+        "rejects": store.write_part("rejects", rejected(staged)),
     }
     if sources is not None:
-        added["ledger"] = [store.write_folder("ledger", sources)]
+        added["ledger"] = store.write_part("ledger", sources)
     totals = staged.agg(
         F.count("*").alias("processed"),
         F.count(REASON).alias("rejected"),
@@ -101,16 +124,25 @@ def register_domains(store: Store, domains: Sequence[Domain]) -> list[str]:
     added = [d.name for d in domains if d.name not in known]
     if added:
         names = store.spark.createDataFrame([(n,) for n in added], "domain string")
-        seeds = missing_status(read_cases(store), read_status(store), added)
+        status = read_done(store).unionByName(read_pending(store))
+        seeds = missing_status(read_cases(store), status, added, keep=[LOAD])
         store.commit(
             append={
-                "domains": [store.write_folder("domains", names)],
-                PENDING: [store.write_folder(PENDING, seeds)],
+                "domains": store.write_part("domains", names),
+                PENDING: _write_status(store, PENDING, seeds),
             }
         )
     return added
 
 
+def cases_of(cases: DataFrame, status: DataFrame) -> DataFrame:
+    """The cases of the loads that the status rows came with; a partition filter on the scan."""
+    rows = status.select(LOAD).distinct().limit(MAX_LISTED_LOADS + 1).collect()
+    if len(rows) > MAX_LISTED_LOADS:
+        return cases
+    return cases.filter(F.col(LOAD).isin([r[LOAD] for r in rows]))
+
+
 def classify_store(
     store: Store,
     domains: Sequence[Domain],
@@ -118,10 +150,11 @@ def classify_store(
     keyword_filter: bool = False,
     max_passes: int = 3,
 ) -> dict[str, int]:
-    """C1 to C11 over the pending rows; returns what is still pending per domain (A10)."""
-    spark = store.spark
-    pending, cases = store.read(PENDING, STATUS), read_cases(store)
+    """C1 to C11 over the pending rows of the given domains (F9); returns what is left (A10)."""
+    pending = read_pending(store)
     names = [d.name for d in domains]
+    waiting = pending.filter(F.col("domain").isin(names))
+    cases = cases_of(read_cases(store), waiting)
     if isinstance(engine, TermRules):
         result = classify_pending(pending, cases, domains, engine, keyword_filter)
     else:
@@ -132,33 +165,45 @@ def classify_store(
             engine,
             max_passes,
             keyword_filter,
-            lambda df: spark.read.parquet(store.write_folder("answers", df)),
+            lambda df: store.staged("answers", df),
         )
-    staged = spark.read.parquet(store.write_folder("staging", result))
-    done = store.write_folder(DONE, staged.filter("processed"))
-    rest = store.write_folder(PENDING, staged.filter(~F.col("processed")))
-    store.commit(append={DONE: [done]}, replace={PENDING: [rest]})
-    left = store.read(PENDING, STATUS).groupBy("domain").count().collect()
-    return {**dict.fromkeys(names, 0), **{r["domain"]: r["count"] for r in left}}
+    _store_outcome(store, result, keep_done=True)
+    left = read_pending(store).groupBy("domain").count().collect()
+    counts = {r["domain"]: r["count"] for r in left}
+    return {name: counts.get(name, 0) for name in names}
+
+
+def _store_outcome(store: Store, status: DataFrame, keep_done: bool) -> None:
+    """Split computed rows into the two parts; one of them grows, the other starts anew."""
+    staged = store.staged("staging", status)
+    done = _write_status(store, DONE, staged.filter("processed"))
+    pending = _write_status(store, PENDING, staged.filter(~F.col("processed")))
+    if keep_done:
+        store.commit(append={DONE: done}, replace={PENDING: pending})
+    else:
+        store.commit(append={PENDING: pending}, replace={DONE: done})
 
 
-def reset_store(store: Store, prefixes: Sequence[str], domains: Sequence[str] | None = None):
+def reset_store(
+    store: Store, prefixes: Sequence[str], domains: Sequence[str] | None = None
+) -> None:
     """P2 on the stored tables."""
-    status = reset_status(store.read(DONE, STATUS), read_cases(store), prefixes, domains)
-    staged = store.spark.read.parquet(store.write_folder("staging", status))
-    done = store.write_folder(DONE, staged.filter("processed"))
-    back = store.write_folder(PENDING, staged.filter(~F.col("processed")))
-    store.commit(append={PENDING: [back]}, replace={DONE: [done]})
+    status = reset_status(read_done(store), read_cases(store), prefixes, domains)
+    _store_outcome(store, status, keep_done=False)
 
 
-def purge_store(store: Store, prefixes: Sequence[str], domains: Sequence[str] | None = None):
+def purge_store(
+    store: Store, prefixes: Sequence[str], domains: Sequence[str] | None = None
+) -> None:
     """P3 on the stored tables: status rows first chosen through the master, then the master."""
     cases = read_cases(store)
-    kept = {}
-    for name in (PENDING, DONE):
-        rows = purge_status(store.read(name, STATUS), cases, prefixes, domains)
-        kept[name] = [store.write_folder(name, rows)]
-    kept[CASES] = [store.write_folder(CASES, purge_cases(cases, prefixes))]
+    kept = {
+        PENDING: _write_status(
+            store, PENDING, purge_status(read_pending(store), cases, prefixes, domains)
+        ),
+        DONE: _write_status(store, DONE, purge_status(read_done(store), cases, prefixes, domains)),
+        CASES: _write_cases(store, purge_cases(cases, prefixes)),
+    }
     store.commit(replace=kept)
 
 
@@ -174,7 +219,7 @@ def run_cycle(
     keyword_filter: bool = False,
     max_passes: int = 3,
 ) -> CycleReport:
-    """P1. Without a changed source the run ends early, unless ``force``.
+    """P1. Without a changed source the run ends early; ``force`` takes every file again.
 
     Otherwise classification runs even when nothing was inserted, so rows that failed before are
     retried; the snapshot is written only when rows were inserted.
@@ -192,7 +237,7 @@ def run_cycle(
     stamp = None
     if snapshot_root is not None:
         stamp = datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S")
-        tables = {CASES: read_cases(store), "status": read_status(store)}
+        tables = {CASES: read_cases(store).drop(LOAD), "status": read_status(store)}
         if not write_snapshot(tables, snapshot_root, stamp, load.inserted):
             stamp = None
     return CycleReport(True, load, stamp, pending)

@@ -1,25 +1,35 @@
-"""Tables whose state changes, kept as immutable Parquet folders (trap: no UPDATE on Parquet).
+"""Tables whose state changes, kept as immutable Parquet folders (Parquet has no UPDATE).
 
 A table is a list of folders. A change writes new folders and then appends one row per table to a
 commit log; readers follow the newest row. Several tables change together in one append. A job
 that dies before the append leaves the tables as they were. One writer at a time.
 
 ``append`` adds a folder, so a load writes only its new cases; ``replace`` starts a new list, so
-rewriting the small set of pending rows does not touch the finished ones.
+rewriting the small set of pending rows does not touch the finished ones. The log also keeps the
+columns, so opening a table reads no file footers and late columns are NULL for older rows.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
-_LOG = "name string, version long, folders array<string>, committed_at timestamp"
+_LOG = "name string, version long, folders array<string>, columns string"
+
+
+@dataclass(frozen=True)
+class Part:
+    """A written folder that a commit can make current."""
+
+    folder: str
+    schema: T.StructType
 
 
 @dataclass(frozen=True)
@@ -27,66 +37,84 @@ class Store:
     spark: SparkSession
     root: str
 
-    def _log(self) -> DataFrame:
+    def _current(self) -> dict[str, tuple[int, list[str], T.StructType]]:
+        """Newest version, folders and columns per table: one row per table of the store."""
         try:
-            return self.spark.read.schema(_LOG).parquet(f"{self.root}/_commits")
+            log = self.spark.read.schema(_LOG).parquet(f"{self.root}/_commits")
         except AnalysisException as problem:
             if problem.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], _LOG)
-
-    def _current(self) -> dict[str, tuple[int, list[str]]]:
-        """Newest version and folders per table: one row per table of the schema."""
-        newest = self._log().groupBy("name").agg(
-            F.max_by(F.struct("version", "folders"), "version").alias("c")
+            return {}
+        newest = log.groupBy("name").agg(
+            F.max_by(F.struct("version", "folders", "columns"), "version").alias("c")
         )
-        return {r["name"]: (r.c.version, list(r.c.folders)) for r in newest.collect()}
-
-    def names(self) -> list[str]:
-        return sorted(self._current())
-
-    def read(self, name: str, schema: T.StructType | str) -> DataFrame:
-        """The table's current rows; an absent table is empty. Late columns read as NULL."""
-        _, folders = self._current().get(name, (0, []))
+        return {
+            r["name"]: (r.c.version, list(r.c.folders), _schema(r.c["columns"]))
+            for r in newest.collect()
+        }
+
+    def read(self, name: str, empty: T.StructType | str) -> DataFrame:
+        """The table's current rows; a table that does not exist yet is empty."""
+        _, folders, schema = self._current().get(name, (0, [], None))
         if not folders:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*folders)
-
-    def read_merged(self, name: str) -> DataFrame:
-        """The table with the union of the columns its folders were written with."""
-        _, folders = self._current()[name]
-        return self.spark.read.option("mergeSchema", "true").parquet(*folders)
+            return self.spark.createDataFrame([], empty)
+        reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/{name}")
+        return reader.parquet(*folders).select(*[f"`{n}`" for n in schema.fieldNames()])
 
-    def write_folder(self, name: str, df: DataFrame) -> str:
-        """Write rows that no reader sees until a commit names their folder."""
-        folder = f"{self.root}/{name}/{uuid.uuid4().hex}"
-        df.write.mode("error").parquet(folder)
-        return folder
+    def write_part(
+        self,
+        name: str,
+        df: DataFrame,
+        partition_by: Sequence[str] = (),
+        sort_by: Sequence[str] = (),
+    ) -> Part:
+        """Write rows that no reader sees until a commit names their folder.
+
+        ``sort_by`` sorts within the files, so that row groups can be skipped.
+        """
+        part = Part(f"{self.root}/{name}/part={uuid.uuid4().hex}", df.schema)
+        rows = df.sortWithinPartitions(*sort_by) if sort_by else df
+        rows.write.mode("error").partitionBy(*partition_by).parquet(part.folder)
+        return part
+
+    def open_part(self, part: Part) -> DataFrame:
+        """The rows of one written folder."""
+        return self.spark.read.schema(part.schema).parquet(part.folder)
+
+    def staged(self, name: str, df: DataFrame) -> DataFrame:
+        """Compute rows once into the store and read them from there; never committed."""
+        return self.open_part(self.write_part(name, df))
 
     def commit(
-        self,
-        append: Mapping[str, list[str]] | None = None,
-        replace: Mapping[str, list[str]] | None = None,
+        self, append: Mapping[str, Part] | None = None, replace: Mapping[str, Part] | None = None
     ) -> None:
         """Make written folders current, all tables at once."""
         current = self._current()
         rows = []
-        for name, folders in (append or {}).items():
-            version, old = current.get(name, (0, []))
-            rows.append((name, version + 1, [*old, *folders]))
-        for name, folders in (replace or {}).items():
-            version, _ = current.get(name, (0, []))
-            rows.append((name, version + 1, list(folders)))
-        log = self.spark.createDataFrame(rows, "name string, version long, folders array<string>")
-        log.withColumn("committed_at", F.current_timestamp()).coalesce(1).write.mode(
-            "append"
-        ).parquet(f"{self.root}/_commits")
+        for name, part in (append or {}).items():
+            version, folders, schema = current.get(name, (0, [], None))
+            rows.append((name, version + 1, [*folders, part.folder], _merged(schema, part.schema)))
+        for name, part in (replace or {}).items():
+            version, _, _ = current.get(name, (0, [], None))
+            rows.append((name, version + 1, [part.folder], part.schema.json()))
+        log = self.spark.createDataFrame(rows, _LOG)
+        log.coalesce(1).write.mode("append").parquet(f"{self.root}/_commits")
 
     def append(self, name: str, df: DataFrame) -> None:
-        self.commit(append={name: [self.write_folder(name, df)]})
+        self.commit(append={name: self.write_part(name, df)})
 
     def replace(self, name: str, df: DataFrame) -> None:
-        self.commit(replace={name: [self.write_folder(name, df)]})
+        self.commit(replace={name: self.write_part(name, df)})
+
+
+def _schema(columns: str) -> T.StructType:
+    return T.StructType.fromJson(json.loads(columns))
+
+
+def _merged(old: T.StructType | None, new: T.StructType) -> str:
+    known = [] if old is None else list(old.fields)
+    names = {f.name for f in known}
+    return T.StructType([*known, *[f for f in new.fields if f.name not in names]]).json()
 
 
 def write_snapshot(tables: Mapping[str, DataFrame], root: str, stamp: str, inserted: int) -> bool:
@@ -102,7 +130,9 @@ def write_snapshot(tables: Mapping[str, DataFrame], root: str, stamp: str, inser
         spark = df.sparkSession
         df.write.mode("overwrite").parquet(f"{root}/snapshot={stamp}/{name}")
     if spark is not None:
-        manifest = spark.createDataFrame([(stamp, list(tables))], "snapshot string, tables array<string>")
+        manifest = spark.createDataFrame(
+            [(stamp, list(tables))], "snapshot string, tables array<string>"
+        )
         manifest.coalesce(1).write.mode("append").parquet(f"{root}/_manifest")
     return True
 

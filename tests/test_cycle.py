@@ -102,14 +102,35 @@ def test_purge_then_reload(spark, tmp_path, store):
 
 def test_rejects_get_no_status(spark, tmp_path, store):
     run(spark, land(tmp_path / "in", "a.csv", "1»x\x00y»»»", "2»ok»»»", "»no key»»»"), store)
-    assert as_set(store.read_merged("rejects"), "reject_reason") == {("nul_character",), ("missing_key",)}
+    assert as_set(store.read("rejects", "reject_reason string"), "reject_reason") == {("nul_character",), ("missing_key",)}
     assert as_set(cycle.read_status(store), "case_id") == {("2",)}
 
 
+def test_one_domain_only(spark, tmp_path, store):
+    source = land(tmp_path / "in", "a.csv", *FIRST)
+    down = CallableEngine(lambda: lambda batch: [None] * len(batch))
+    run(spark, source, store, down)
+    assert cycle.classify_store(store, DOMAINS[:1], TermRules({})) == {"pets": 0}
+    assert as_set(cycle.read_pending(store), "domain", "case_id") == {("noise", "1"), ("noise", "3")}
+
+
+def test_a_run_reads_the_texts_of_pending_loads_only(spark, tmp_path, store):
+    source = land(tmp_path / "in", "a.csv", *FIRST)
+    run(spark, source, store)
+    land(tmp_path / "in", "b.csv", "9»a cat»2026-06-01»»")
+    cycle.load_rows(store, cycle.read_export(spark, source), DOMAINS)
+    cases = cycle.read_cases(store)
+    needed = cycle.cases_of(cases, cycle.read_pending(store))
+    assert as_set(needed, "case_id") == {("9",)}
+    assert cases.select(cycle.LOAD).distinct().count() == 2
+    plan = plan_of(needed)
+    assert "PartitionFilters: [" in plan and "load_id" in plan.split("PartitionFilters: [")[1][:60]
+
+
 def test_unfinished_write_is_invisible(spark, store):
     rows = spark.createDataFrame([("a",)], "domain string")
     store.append("domains", rows)
-    store.write_folder("domains", rows)
+    store.write_part("domains", rows)
     assert store.read("domains", "domain string").count() == 1
     store.replace("domains", rows.limit(0))
     assert store.read("domains", "domain string").count() == 0
@@ -118,7 +139,7 @@ def test_unfinished_write_is_invisible(spark, store):
 def test_late_column_reads_as_null(spark, store):
     store.append("t", spark.createDataFrame([("1",)], "case_id string"))
     store.append("t", spark.createDataFrame([("2", "x")], "case_id string, extra string"))
-    assert as_set(store.read_merged("t"), "case_id", "extra") == {("1", None), ("2", "x")}
+    assert as_set(store.read("t", "case_id string"), "case_id", "extra") == {("1", None), ("2", "x")}
 
 
 def test_stream_loads_each_file_once(spark, tmp_path, store):
