@@ -330,6 +330,17 @@ new AS (
          string_agg(DISTINCT lang, '|' ORDER BY lang) AS keywords
   FROM documents JOIN labels USING (doc_id) WHERE toxic = 1 GROUP BY source)
 SELECT * FROM new UNION ALL SELECT * FROM old WHERE domain NOT IN (SELECT domain FROM new)""",
+    "taxonomy_json": """
+SELECT source AS domain, to_json(list(DISTINCT lang ORDER BY lang))::VARCHAR AS categories,
+       to_json(list(DISTINCT lang ORDER BY lang))::VARCHAR AS keywords
+FROM documents GROUP BY source""",
+    "late_method_column": ON_STATUS
+    + "SELECT domain, case_id, category, processed, CAST(NULL AS VARCHAR) AS method FROM status",
+    "pending_slice": ON_CASES
+    + """
+SELECT case_id, subject, 'abusive_words|contact|language|licence' AS domains FROM cases
+WHERE order_status = 'O' AND subject IS NOT NULL AND trim(subject) <> ''
+ORDER BY case_id LIMIT 50""",
     "orphan_status": ON_CASES
     + f"""
 SELECT domain, count(*) AS orphans FROM cases CROSS JOIN domains

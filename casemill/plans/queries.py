@@ -15,8 +15,9 @@ from casemill.operators import cascade, criteria, evaluation, lifecycle, load, r
 from casemill.operators.answers import normalise_choice, normalise_generated
 from casemill.operators.engines import CallableEngine, TextModel
 from casemill.operators.sampling import stratified_sample
-from casemill.operators.taxonomy import upsert_taxonomy
+from casemill.operators.taxonomy import dump_taxonomy, parse_taxonomy, upsert_taxonomy
 from casemill.plans import bindings as b
+from casemill.schema import STATUS, add_missing_columns
 from casemill.sources.ledger import changed_sources, list_sources
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,13 +137,31 @@ def taxonomy_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     merged = upsert_taxonomy(
         observed(documents, "lang", "lang"), observed(graded, "grade", "lang")
     )
-    return merged.select(
+    texts = dump_taxonomy(merged.withColumn("prompt_template", F.lit(None).cast("string")))
+    return parse_taxonomy(texts).select(
         "domain",
         F.array_join("categories", "|").alias("categories"),
         F.array_join("keywords", "|").alias("keywords"),
     )
 
 
+def taxonomy_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A domain per document source with its languages as stored JSON text."""
+    documents = b.table(spark, sf_dir, "documents")
+    languages = F.array_sort(F.collect_set("lang"))
+    observed = documents.groupBy(F.col("source").alias("domain")).agg(
+        languages.alias("categories"), languages.alias("keywords")
+    )
+    return dump_taxonomy(observed.withColumn("prompt_template", F.lit(None).cast("string"))).drop(
+        "prompt_template"
+    )
+
+
+def late_method_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status rows written before the method was kept, read with today's columns."""
+    return add_missing_columns(b.status(spark, sf_dir).drop("method"), STATUS)
+
+
 def orphan_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A purge of two domains only leaves status rows of the others without a case."""
     cases = b.cases(spark, sf_dir, subject=False)
@@ -292,6 +311,13 @@ def rule_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pending_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O3: the next bounded slice of waiting texts."""
+    waiting = cascade.pending_texts(b.status(spark, sf_dir), b.texts_of(spark, sf_dir))
+    domains = F.array_join(F.array_sort("domains"), "|")
+    return cascade.pending_slice(waiting, 50).withColumn("domains", domains)
+
+
 def _raw_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents read as the free-text answers of an engine."""
     return _all_texts(spark, sf_dir).withColumn(
@@ -469,6 +495,8 @@ QUERIES: dict[str, Query] = {
         seed_status,
         sync_missing_status,
         taxonomy_upsert,
+        taxonomy_json,
+        late_method_column,
         orphan_status,
         cases_per_month,
         cases_per_register_month,
@@ -494,6 +522,7 @@ QUERIES: dict[str, Query] = {
         classify_rules,
         classify_rules_with_keywords,
         rule_scores,
+        pending_slice,
         normalise_generated_answers,
         normalise_choice_answers,
         apply_outcomes,
