@@ -71,12 +71,17 @@ class TermRules:
     normalise = staticmethod(normalise_choice)
 
     def with_scores(
-        self, df: DataFrame, lowered: str, domains: Sequence[Domain]
+        self,
+        df: DataFrame,
+        lowered: str,
+        domains: Sequence[Domain],
+        asked: Callable[[Domain], Column] | None = None,
     ) -> tuple[DataFrame, dict[str, list[str]]]:
         """Add one integer column per category, named per domain in category order.
 
         The lower-cased text must be a column of its own: each score reads it, and Catalyst keeps
         a projection apart that is read more than once, so the text is lower-cased once.
+        ``asked`` tells whether a row asks about a domain; if not, its text is not searched.
         """
         columns: dict[str, Column] = {}
         names: dict[str, list[str]] = {}
@@ -88,7 +93,8 @@ class TermRules:
                     F.coalesce(F.col(lowered).contains(t.lower()), F.lit(False)).cast("int")
                     for t in terms
                 ]
-                columns[f"_score_{i}_{j}"] = reduce(add, hits)
+                found = reduce(add, hits)
+                columns[f"_score_{i}_{j}"] = F.when(asked(d), found) if asked else found
                 names[d.name].append(f"_score_{i}_{j}")
         return df.withColumns(columns), names
 
@@ -105,7 +111,9 @@ class TermRules:
         self, texts: DataFrame, domains: Sequence[Domain], keep: Sequence[str] = ()
     ) -> DataFrame:
         prepared = texts.select("case_id", *keep, "domains", F.lower("subject").alias("_text"))
-        scored, names = self.with_scores(prepared, "_text", domains)
+        scored, names = self.with_scores(
+            prepared, "_text", domains, lambda d: F.array_contains("domains", d.name)
+        )
         verdicts = [self._scored_verdict(d, names[d.name]) for d in domains]
         return _explode_asked(scored, keep, verdicts)
 
@@ -254,7 +262,7 @@ class CallableEngine:
     failure, or a dict with any of ``answer, confidence, margin, probabilities``.
 
     A raised error is retried (an exception's ``retry_after`` attribute sets the wait), then the
-    rows of that batch are tried one by one; what still fails becomes a NULL answer with its
+    batch is halved until the bad rows are alone; what still fails becomes a NULL answer with its
     error text, never a failed job. ``concurrency`` bounds the tasks that call the scorer.
     """
 
@@ -288,13 +296,13 @@ class CallableEngine:
         return rows.mapInPandas(run, schema)
 
 
-def _batch_scorer(batch_rows: int, retries: int, wait_s: float, kept: Sequence[str]):
+def _batch_scorer(batch_rows: int, row_retries: int, wait_s: float, kept: Sequence[str]):
     """A function that applies a scorer to one Arrow batch with bounded retries.
 
     It is made of nested functions only, so it travels to the executors by value.
     """
 
-    def attempt(predict, part):
+    def attempt(predict, part, retries):
         started = time.perf_counter()
         error = None
         for trial in range(retries + 1):
@@ -309,14 +317,19 @@ def _batch_scorer(batch_rows: int, retries: int, wait_s: float, kept: Sequence[s
                     time.sleep(getattr(problem, "retry_after", wait_s * (trial + 1)))
         return None, error, time.perf_counter() - started
 
-    def score_part(predict, part):
-        """One (item, error, seconds) per row; a failing part is tried again row by row."""
-        results, error, elapsed = attempt(predict, part)
+    def score_part(predict, part, retries):
+        """One (item, error, seconds) per row. A failing part is halved until the bad rows are
+        alone, so a few of them cost few extra calls; a row alone gets the full retries."""
+        results, error, elapsed = attempt(predict, part, retries)
         if error is None:
             return [(item, None, elapsed / len(part)) for item in results]
         if len(part) == 1:
             return [(None, error, elapsed)]
-        return [score_part(predict, part.iloc[i : i + 1])[0] for i in range(len(part))]
+        outcomes = []
+        middle = len(part) // 2
+        for half in (part.iloc[:middle], part.iloc[middle:]):
+            outcomes += score_part(predict, half, row_retries if len(half) == 1 else 0)
+        return outcomes
 
     def frame(part, outcomes):
         items = [r if isinstance(r, dict) else {"answer": r} for r, _, _ in outcomes]
@@ -332,6 +345,6 @@ def _batch_scorer(batch_rows: int, retries: int, wait_s: float, kept: Sequence[s
     def score_batch(predict, batch):
         for start in range(0, len(batch), batch_rows):
             part = batch.iloc[start : start + batch_rows]
-            yield frame(part, score_part(predict, part))
+            yield frame(part, score_part(predict, part, row_retries))
 
     return score_batch

@@ -8,11 +8,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from casemill.operators.cascade import classify_new
 from casemill.operators.engines import TermRules
 from casemill.operators.status import seed_status
 from casemill.operators.taxonomy import Domain
+from casemill.sources.small import spread_small_scan
 
 _TEMPLATE = """Domain: {clase_upper} ({clase})
 {categories_list}
@@ -73,8 +75,15 @@ SECOND_RULES = TermRules(
 LANGUAGE_LABELS = {"en": "English", "de": "German", "es": "Spanish", "fr": "French"}
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A benchmark table; its footer is read once, not by every query that uses it."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def cases(
@@ -91,6 +100,7 @@ def cases(
     joined = orders
     if subject:
         documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+        joined = spread_small_scan(joined)
         joined = joined.join(documents, joined.o_orderkey == documents.doc_id, "left")
         columns += [F.col("text").alias("subject"), "lang", "source"]
     if register_date:
@@ -125,7 +135,7 @@ def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored labels for an evaluation: each document's language, and its toxicity label."""
-    documents = table(spark, sf_dir, "documents")
+    documents = spread_small_scan(table(spark, sf_dir, "documents"))
     language = F.create_map(*[F.lit(x) for pair in LANGUAGE_LABELS.items() for x in pair])
     by_language = documents.select(
         F.col("doc_id").cast("string").alias("case_id"),

@@ -1,0 +1,22 @@
+"""Small files in front of heavy text work."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+# A scan of more splits than this is never reshuffled: it feeds enough tasks as it is, and moving
+# its rows would cost more than it gains.
+SMALL_SPLITS = 64
+
+
+def spread_small_scan(scan: DataFrame) -> DataFrame:
+    """Give a plain file scan with fewer splits than cores one partition per core.
+
+    One small file, often a single row group, otherwise keeps all text work in one task. A large
+    input is returned as it is. Only for scans: asking a join for its partitions would run it.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    splits = scan.rdd.getNumPartitions()
+    if splits >= min(cores, SMALL_SPLITS):
+        return scan
+    return scan.repartition(min(cores, SMALL_SPLITS))
