@@ -185,8 +185,7 @@ def answer_pending(
 ) -> DataFrame:
     """C6 + C7/C8: normalised answers for every waiting text, NULL where the engine failed."""
     scored = engine.score(pending_texts(status, cases), domains)
-    answer = engine.normalise(F.col("answer"), F.col("domain"), domains)
-    return scored.select("case_id", "domain", answer.alias("answer"))
+    return engine.normalise(scored.select("case_id", "domain", "answer"), domains)
 
 
 def classify_in_passes(

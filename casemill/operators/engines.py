@@ -268,7 +268,7 @@ class CallableEngine:
 
     factory: Callable[[], Predict]
     method: str = METHOD_MODEL
-    normalise: Callable[..., Column] = normalise_choice
+    normalise: Callable[[DataFrame, Sequence[Domain]], DataFrame] = normalise_choice
     prepare: Callable[[DataFrame, Sequence[Domain]], DataFrame] | None = None
     batch_rows: int = 200
     retries: int = 1

@@ -100,7 +100,7 @@ def cases(
     joined = orders
     if subject:
         documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-        joined = spread_small_scan(joined)
+        joined, documents = spread_small_scan(joined), spread_small_scan(documents)
         joined = joined.join(documents, joined.o_orderkey == documents.doc_id, "left")
         columns += [F.col("text").alias("subject"), "lang", "source"]
     if register_date:

@@ -320,19 +320,18 @@ def pending_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _raw_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents read as the free-text answers of an engine."""
-    return _all_texts(spark, sf_dir).withColumn(
-        "answer", F.concat(F.lit(" Respuesta: "), F.col("subject"))
+    return _all_texts(spark, sf_dir).select(
+        "case_id", "domain", F.concat(F.lit(" Respuesta: "), F.col("subject")).alias("answer")
     )
 
 
 def normalise_generated_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    answer = normalise_generated(F.col("answer"), F.col("domain"), b.DOMAINS)
-    return _raw_answers(spark, sf_dir).select("case_id", "domain", answer.alias("answer"))
+    return normalise_generated(_raw_answers(spark, sf_dir), b.DOMAINS)
 
 
 def normalise_choice_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    answer = normalise_choice(F.col("subject"), F.col("domain"), b.DOMAINS)
-    return _all_texts(spark, sf_dir).select("case_id", "domain", answer.alias("answer"))
+    answers = _all_texts(spark, sf_dir).withColumnRenamed("subject", "answer")
+    return normalise_choice(answers, b.DOMAINS)
 
 
 def apply_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:

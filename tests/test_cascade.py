@@ -1,6 +1,5 @@
 import pytest
 from conftest import as_set, plan_of
-from pyspark.sql import functions as F
 
 from casemill.operators import cascade
 from casemill.operators.answers import normalise_choice, normalise_generated
@@ -16,8 +15,7 @@ RULES = TermRules({"pets": {"Dog": ["dog", "puppy"], "Cat": ["cat"]}, "noise": {
 
 def normalised(spark, function, answers, domains, domain):
     df = spark.createDataFrame([(domain, a) for a in answers], "domain string, answer string")
-    column = function(F.col("answer"), F.col("domain"), domains)
-    return [r[0] for r in df.select(column).collect()]
+    return [r.answer for r in function(df, domains).collect()]
 
 
 def test_generated_answers(spark):
