@@ -25,6 +25,10 @@ class Domain:
     keywords: tuple[str, ...] = ()
     prompt_template: str | None = None
 
+    def __post_init__(self) -> None:
+        if not self.categories:
+            raise ValueError(f"domain {self.name!r} has no categories")
+
 
 def shipped_domains() -> list[Domain]:
     """The three domains that come with the package."""

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Texts can be long: small Arrow batches keep a Python engine's memory flat.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     # Recording a Python call site for every column expression doubles the time to build a plan.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
