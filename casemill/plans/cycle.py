@@ -37,6 +37,10 @@ NO_CASES = f"case_id string, subject string, entry_date string, register_date st
 # Above this many loads a run scans all texts instead of listing the loads in the plan.
 MAX_LISTED_LOADS = 10_000
 
+# Up to this many waiting keys (some tens of MB) are broadcast to pick their texts; with more, the
+# texts are judged where they are and only the verdicts are joined.
+MAX_BROADCAST_KEYS = 500_000
+
 
 @dataclass(frozen=True)
 class LoadCounts:
@@ -135,12 +139,19 @@ def register_domains(store: Store, domains: Sequence[Domain]) -> list[str]:
     return added
 
 
-def cases_of(cases: DataFrame, status: DataFrame) -> DataFrame:
-    """The cases of the loads that the status rows came with; a partition filter on the scan."""
-    rows = status.select(LOAD).distinct().limit(MAX_LISTED_LOADS + 1).collect()
-    if len(rows) > MAX_LISTED_LOADS:
-        return cases
-    return cases.filter(F.col(LOAD).isin([r[LOAD] for r in rows]))
+def cases_of(cases: DataFrame, waiting: DataFrame) -> DataFrame:
+    """The cases that waiting status rows need, or a superset of them.
+
+    Their loads become a partition filter on the scan. When few rows wait, as after a reset or
+    some failures, their keys are broadcast, so that no other text is looked at.
+    """
+    loads = waiting.select(LOAD).distinct().limit(MAX_LISTED_LOADS + 1).collect()
+    if len(loads) <= MAX_LISTED_LOADS:
+        cases = cases.filter(F.col(LOAD).isin([r[LOAD] for r in loads]))
+    keys = waiting.select("case_id")
+    if keys.limit(MAX_BROADCAST_KEYS + 1).count() <= MAX_BROADCAST_KEYS:
+        cases = cases.join(F.broadcast(keys.distinct()), "case_id", "left_semi")
+    return cases
 
 
 def classify_store(

@@ -125,6 +125,17 @@ def test_a_run_reads_the_texts_of_pending_loads_only(spark, tmp_path, store):
     assert cases.select(cycle.LOAD).distinct().count() == 2
     plan = plan_of(needed)
     assert "PartitionFilters: [" in plan and "load_id" in plan.split("PartitionFilters: [")[1][:60]
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+
+
+def test_many_waiting_rows_are_not_broadcast(spark, tmp_path, store, monkeypatch):
+    monkeypatch.setattr(cycle, "MAX_BROADCAST_KEYS", 1)
+    monkeypatch.setattr(cycle, "MAX_LISTED_LOADS", 0)
+    cycle.load_rows(store, cycle.read_export(spark, land(tmp_path / "in", "a.csv", *FIRST)), DOMAINS)
+    cases = cycle.read_cases(store)
+    assert "Broadcast" not in plan_of(cycle.cases_of(cases, cycle.read_pending(store)))
+    assert cycle.classify_store(store, DOMAINS, TermRules({})) == {"pets": 0, "noise": 0}
+    assert cycle.read_status(store).filter("category = 'Dog'").count() == 1
 
 
 def test_unfinished_write_is_invisible(spark, store):
