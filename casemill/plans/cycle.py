@@ -233,7 +233,8 @@ def run_cycle(
     """P1. Without a changed source the run ends early; ``force`` takes every file again.
 
     Otherwise classification runs even when nothing was inserted, so rows that failed before are
-    retried; the snapshot is written only when rows were inserted.
+    retried. Only when rows were inserted the new state is tagged, which copies nothing, and
+    with a ``snapshot_root`` also copied there as a backup.
     """
     store = Store(spark, root)
     register_domains(store, domains)
@@ -246,9 +247,10 @@ def run_cycle(
     load = load_rows(store, rows, domains, spark.createDataFrame(files, LEDGER))
     pending = classify_store(store, domains, engine, keyword_filter, max_passes)
     stamp = None
-    if snapshot_root is not None:
+    if load.inserted:
         stamp = datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S")
-        tables = {CASES: read_cases(store).drop(LOAD), "status": read_status(store)}
-        if not write_snapshot(tables, snapshot_root, stamp, load.inserted):
-            stamp = None
+        store.tag(stamp)
+        if snapshot_root is not None:
+            tables = {CASES: read_cases(store).drop(LOAD), "status": read_status(store)}
+            write_snapshot(tables, snapshot_root, stamp, load.inserted)
     return CycleReport(True, load, stamp, pending)

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _LOG = "name string, version long, folders array<string>, columns string"
+_TAGS = "stamp string, name string, folders array<string>, columns string"
 
 
 @dataclass(frozen=True)
@@ -58,9 +59,26 @@ class Store:
         _, folders, schema = self._current().get(name, (0, [], None))
         if not folders:
             return self.spark.createDataFrame([], empty)
+        return self._open(name, folders, schema)
+
+    def _open(self, name: str, folders: Sequence[str], schema: T.StructType) -> DataFrame:
         reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/{name}")
         return reader.parquet(*folders).select(*[f"`{n}`" for n in schema.fieldNames()])
 
+    def tag(self, stamp: str) -> None:
+        """S17 without a copy: keep the current state under a name; folders never change."""
+        rows = [(stamp, n, f, c.json()) for n, (_, f, c) in self._current().items()]
+        tags = self.spark.createDataFrame(rows, _TAGS)
+        tags.coalesce(1).write.mode("append").parquet(f"{self.root}/_tags")
+
+    def read_tag(self, stamp: str, name: str) -> DataFrame:
+        """A table as it was when it was tagged."""
+        tags = self.spark.read.schema(_TAGS).parquet(f"{self.root}/_tags")
+        row = tags.filter((F.col("stamp") == stamp) & (F.col("name") == name)).head()
+        if row is None:
+            raise ValueError(f"no table {name!r} under tag {stamp!r}")
+        return self._open(name, row["folders"], _schema(row["columns"]))
+
     def write_part(
         self,
         name: str,

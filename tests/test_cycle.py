@@ -89,6 +89,16 @@ def test_reset_then_classify_restores(spark, tmp_path, store):
     assert as_set(cycle.read_status(store)) == before
 
 
+def test_tag_keeps_the_state_without_a_copy(spark, tmp_path, store):
+    stamp = run(spark, land(tmp_path / "in", "a.csv", *FIRST), store).snapshot
+    before = as_set(cycle.read_cases(store))
+    cycle.purge_store(store, ["2026"])
+    assert cycle.read_cases(store).count() == 0
+    assert as_set(store.read_tag(stamp, cycle.CASES)) == before
+    with pytest.raises(ValueError, match="no table"):
+        store.read_tag("never", cycle.CASES)
+
+
 def test_purge_then_reload(spark, tmp_path, store):
     source = land(tmp_path / "in", "a.csv", *FIRST)
     run(spark, source, store)
