@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
+#: Temporary folder of each local session that names none.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -30,19 +37,39 @@ def build_session(app: str = "casemill", master: str | None = None, **extra: str
     return builder.getOrCreate()
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared checkpoint folder and read it from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate data that driver and executors share.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a local session
-    without that setting gets a temporary folder; on a cluster a missing setting is an error.
+    It is the one the cluster names in ``spark.checkpoint.dir``. Only a local session without
+    that setting gets a temporary folder of its own; on a cluster a missing setting is an error.
     """
-    spark = df.sparkSession
+    folder = spark.conf.get(CHECKPOINT_KEY, None)
+    if folder:
+        return folder.rstrip("/")
     context = spark.sparkContext
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
+        raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder all executors share")
+    if context.applicationId not in _LOCAL_FOLDERS:
+        made = tempfile.mkdtemp(prefix="casemill-")
+        atexit.register(shutil.rmtree, made, ignore_errors=True)
+        _LOCAL_FOLDERS[context.applicationId] = made
+    return _LOCAL_FOLDERS[context.applicationId]
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into the shared checkpoint folder and read it from there."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get(CHECKPOINT_KEY, None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="casemill-checkpoint-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet into the shared folder and read it from there.
+
+    Unlike ``durable`` the copy is compressed and columnar, and later readers prune its columns.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/casemill/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
