@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from casemill.llm.mixing import mix_sources
+from casemill.llm.packing import pack_sequences
+from casemill.llm.pii import personal_data, span_digests
 from casemill.llm.token_store import token_files
 
 
@@ -13,11 +16,28 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_digests(personal_data(_table(spark, sf_dir, "documents")))
+
+
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "source", "passes"
+    )
+
+
+def op4_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_sequences(_table(spark, sf_dir, "documents"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(_table(spark, sf_dir, "documents"))
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_personal_data": op2_personal_data,
+    "op3_mix_sources": op3_mix_sources,
+    "op4_pack_sequences": op4_pack_sequences,
     "op10_token_files": op10_token_files,
 }
 

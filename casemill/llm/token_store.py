@@ -28,10 +28,10 @@ from casemill.session import staged
 
 MAGIC = b"RPGS"
 SHARD_IDS = 1 << 21
-ROUNDS = 6
+ROUNDS = 4
 #: Pairs are looked for among so many of the most frequent symbols of a round.
-FREQUENT = 2047
-RULES_A_ROUND = 2048
+FREQUENT = 1023
+RULES_A_ROUND = 4096
 #: A pair must occur so often in the shard to be worth a rule.
 LEAST_COUNT = 24
 
@@ -58,8 +58,8 @@ def compress(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[
         found = _best_pairs(seq, size, end)
         if found is None:
             break
-        pairs, table, index = found
-        seq = _replace(seq, table, index, size)
+        pairs, rank = found
+        seq = _replace(seq, rank, size)
         rules.append(pairs)
         made.append(len(pairs))
         size += len(pairs)
@@ -68,7 +68,7 @@ def compress(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[
 
 
 def _best_pairs(seq: np.ndarray, size: int, end: int):
-    """The most frequent pairs, a table from a pair's number to its rank, and symbols' numbers."""
+    """The most frequent pairs, and the rank of the pair at each place (32767: none of them)."""
     if len(seq) < 2:
         return None
     counts = np.bincount(seq, minlength=size)
@@ -95,10 +95,10 @@ def _best_pairs(seq: np.ndarray, size: int, end: int):
     table = np.full(width * width, 32767, np.int16)
     table[best] = np.arange(len(best), dtype=np.int16)
     pairs = np.stack([frequent[best // width], frequent[best % width]], 1).astype(np.int32)
-    return pairs, table[number], index
+    return pairs, table[number]
 
 
-def _replace(seq: np.ndarray, rank: np.ndarray, _index: np.ndarray, size: int) -> np.ndarray:
+def _replace(seq: np.ndarray, rank: np.ndarray, size: int) -> np.ndarray:
     """Replace each pair that ranks before the pairs it overlaps by its new symbol."""
     take = rank < 32767
     take[1:] &= rank[1:] < rank[:-1]
