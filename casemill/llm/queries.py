@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from casemill.llm.mixing import mix_sources
+from casemill.llm.near_join import near_duplicates
 from casemill.llm.packing import pack_sequences
 from casemill.llm.pii import personal_data, span_digests
 from casemill.llm.token_store import token_files
@@ -16,6 +17,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digests(personal_data(_table(spark, sf_dir, "documents")))
 
@@ -35,6 +40,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_duplicates": op1_near_duplicates,
     "op2_personal_data": op2_personal_data,
     "op3_mix_sources": op3_mix_sources,
     "op4_pack_sequences": op4_pack_sequences,
