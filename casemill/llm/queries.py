@@ -10,6 +10,7 @@ from casemill.llm.mixing import mix_sources
 from casemill.llm.near_join import near_duplicates
 from casemill.llm.packing import pack_sequences
 from casemill.llm.pii import personal_data, span_digests
+from casemill.llm.suffix_dedup import remove_repeats
 from casemill.llm.token_store import token_files
 
 
@@ -35,6 +36,10 @@ def op4_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_sequences(_table(spark, sf_dir, "documents"))
 
 
+def op9_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(_table(spark, sf_dir, "documents"))
 
@@ -44,6 +49,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_personal_data": op2_personal_data,
     "op3_mix_sources": op3_mix_sources,
     "op4_pack_sequences": op4_pack_sequences,
+    "op9_remove_repeats": op9_remove_repeats,
     "op10_token_files": op10_token_files,
 }
 
