@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from casemill.llm.embedding_dedup import embedding_duplicates
 from casemill.llm.mixing import mix_sources
 from casemill.llm.near_join import near_duplicates
 from casemill.llm.packing import pack_sequences
@@ -36,6 +37,10 @@ def op4_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_sequences(_table(spark, sf_dir, "documents"))
 
 
+def op5_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op9_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents")).drop("kept_text")
 
@@ -49,6 +54,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_personal_data": op2_personal_data,
     "op3_mix_sources": op3_mix_sources,
     "op4_pack_sequences": op4_pack_sequences,
+    "op5_embedding_duplicates": op5_embedding_duplicates,
     "op9_remove_repeats": op9_remove_repeats,
     "op10_token_files": op10_token_files,
 }
