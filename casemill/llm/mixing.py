@@ -129,18 +129,22 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     )
 
 
+def _draw(seed: int):
+    return F.xxhash64(F.lit(seed), F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+
 def mix_sources(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """How much of each document the mix takes.
 
-    Returns each row's doc_id, size, source, source_size, target and ``passes`` (how often the
-    document is in the mix), taken (size x passes). A null text has size 0; null sources are one
+    Returns each row's doc_id, size, source, source_size, target, ``draw`` (its seeded hash),
+    ``passes`` (how often the document is in the mix) and taken (size x passes). A null text has size 0; null sources are one
     source, the last; rows that repeat a doc_id count each. The same seed gives the same mix.
     """
     counted = docs.select(
         F.col("doc_id").cast("long"),
         F.col("source").cast("string"),
         word_count(F.col("text")).alias("size"),
-        F.xxhash64(F.lit(seed), "doc_id", "text").alias("draw"),
+        _draw(seed).alias("draw"),
     )
     counted = staged(counted, "mix-sizes")
     lengths = staged(
@@ -215,9 +219,33 @@ def mix_sources(docs: DataFrame, seed: int = SEED) -> DataFrame:
         "source",
         "source_size",
         "target",
+        "draw",
         (F.col("whole") + (F.col("rank") <= F.col("slice_quota")).cast("long")).alias("passes"),
         (
             F.col("size")
             * (F.col("whole") + (F.col("rank") <= F.col("slice_quota")).cast("long"))
         ).alias("taken"),
     )
+
+
+def mixed(docs: DataFrame, seed: int = SEED) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as the mix takes it, columns as they are."""
+    passes = (
+        mix_sources(docs, seed)
+        .groupBy(F.coalesce("doc_id", F.lit(-1)).alias("mix__id"), F.col("draw").alias("mix__draw"))
+        .agg(F.sum("passes").alias("mix__passes"))
+        .filter("mix__passes > 0")
+    )
+    key = ["mix__id", "mix__draw"]
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return (
+        docs.withColumns(
+            {"mix__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), "mix__draw": _draw(seed)}
+        )
+        .join(passes, key)
+        # Rows that are equal in id and text share their passes.
+        .withColumn("mix__row", F.row_number().over(Window.partitionBy(key).orderBy("mix__draw")))
+        .filter("mix__row = 1")
+        .withColumn("mix__pass", F.explode(F.sequence(F.lit(1).cast("long"), "mix__passes")))
+        .select(*columns)
+    )

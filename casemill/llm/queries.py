@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from casemill.llm.embedding_dedup import embedding_duplicates
+from casemill.llm.fingerprint import fingerprints
+from casemill.llm.language import languages
 from casemill.llm.mixing import mix_sources
 from casemill.llm.near_join import near_duplicates
 from casemill.llm.packing import pack_sequences
 from casemill.llm.pii import personal_data, span_digests
+from casemill.llm.quality import quality_scores
 from casemill.llm.suffix_dedup import remove_repeats
 from casemill.llm.token_store import token_files
 
@@ -41,6 +44,18 @@ def op5_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op6_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(_table(spark, sf_dir, "documents"))
+
+
+def op8_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(_table(spark, sf_dir, "documents"))
+
+
 def op9_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents")).drop("kept_text")
 
@@ -55,6 +70,9 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mix_sources": op3_mix_sources,
     "op4_pack_sequences": op4_pack_sequences,
     "op5_embedding_duplicates": op5_embedding_duplicates,
+    "op6_quality_scores": op6_quality_scores,
+    "op7_fingerprints": op7_fingerprints,
+    "op8_languages": op8_languages,
     "op9_remove_repeats": op9_remove_repeats,
     "op10_token_files": op10_token_files,
 }
