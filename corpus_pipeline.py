@@ -17,7 +17,7 @@ from casemill.llm.pii import redacted
 from casemill.session import staged
 
 #: A document whose best language has a smaller share of its words is rejected.
-LEAST_LANGUAGE_SHARE = 0.5
+LEAST_LANGUAGE_SHARE = 0.4
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ def test_stages(spark):
     assert list(stages) == ["language", "near duplicates", "personal data", "mix", "pack"]
 
     kept = stages["language"](spark, docs, "")
-    want = {r.doc_id for r in languages(docs).collect() if r.lang_pred != "und" and r.score >= 0.5}
+    want = {r.doc_id for r in languages(docs).collect() if r.lang_pred != "und" and r.score >= corpus_pipeline.LEAST_LANGUAGE_SHARE}
     assert kept.columns == docs.columns
     assert rows_of(kept) == sorted((r for r in rows if r[0] in want), key=str)
 
