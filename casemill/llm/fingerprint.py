@@ -14,6 +14,7 @@ import random
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from casemill.llm.shared import id_column
 from casemill.session import staged
 
 WIDTH = 5
@@ -23,7 +24,7 @@ BITS = 8
 #: Donors an empty bin tries in its sequence; if all are empty, the nearest by a hash is taken.
 TRIES = 8
 SEED = 11
-#: Stands for a missing doc_id in join keys, where null equals nothing.
+#: Stands for a missing doc_id in join keys, where null equals nothing; no id of its own.
 _NO_ID = -(2**63)
 
 
@@ -170,11 +171,10 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     doc_id the texts' hashes decide; rows that repeat both count as one document in the order.
     """
     rows = docs.select(
-        F.col("doc_id").cast("long"),
+        id_column(docs),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
     rows = rows.select(
-        "doc_id",
         F.coalesce("doc_id", F.lit(_NO_ID)).alias("id_key"),
         F.xxhash64("text").alias("mark"),
         F.length("text").cast("long").alias("n_chars"),
@@ -182,7 +182,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     )
     order = staged(next_documents(rows.select("id_key", "mark", "n_chars")), "next")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    texts = rows.repartition(n, "id_key", "mark")
+    # The same three columns for both joins below: the exchange is made once and used twice.
+    texts = rows.select("id_key", "mark", "text").repartition(n, "id_key", "mark")
     # What each document gives to the one before it.
     heads = (
         texts.join(
@@ -206,7 +207,12 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     )
     third = F.floor(F.col("n_chars") / 3).cast("int")
     edited = F.concat(F.substring("text", 1, F.col("n_chars").cast("int") - third), "head")
-    both = texts.join(heads, ["id_key", "mark"]).select(
+    both = texts.join(heads, ["id_key", "mark"]).withColumns(
+        {
+            "doc_id": F.nullif("id_key", F.lit(_NO_ID)),
+            "n_chars": F.length("text").cast("long"),
+        }
+    ).select(
         "doc_id", "id_key", "mark", "next_id", "next_mark", "n_chars", "text", edited.alias("edited")
     )
     both = _with_fingerprint(both, F.col("text"), "own")

@@ -11,7 +11,8 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Fixed odd constants of the hash functions.
 WORD_BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -38,6 +39,12 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def id_column(docs: DataFrame) -> Column:
+    """doc_id as a long. Without a needless cast, so that two uses of one exchange stay equal."""
+    column = F.col("doc_id")
+    return column if dict(docs.dtypes)["doc_id"] == "bigint" else column.cast("long").alias("doc_id")
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Scramble 64-bit integers so that every output bit depends on every input bit."""
     x = x ^ (x >> np.uint64(30))
