@@ -20,7 +20,7 @@ MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
 MIX_2 = np.uint64(0x94D049BB133111EB)
 
 #: Texts are cut into runs of whole documents of about this many bytes before array work.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _SHIPPED: set[str] = set()
 

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casemill.llm.shared import WORD_BASE, byte_slices, mix, ship, utf8
+from casemill.llm.shared import WORD_BASE, byte_slices, id_column, mix, ship, utf8
 from casemill.session import staged
 
 WINDOW = 50
@@ -34,7 +34,7 @@ NUMBER_BITS = 24
 #: Anchors of a batch after which it is sent off, below two to the NUMBER_BITS by one slice.
 BATCH_ANCHORS = 1 << 22
 #: Bytes of text whose anchors, or contexts, make up a shard on average.
-SHARD_BYTES = 24 << 20
+SHARD_BYTES = 8 << 20
 _NO_DATA = np.zeros(0, np.int64)
 
 
@@ -49,6 +49,7 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
     two = joined(one, one, 1, 1)
     four = joined(two, two, 2, 2)
     eight = joined(four, four, 4, 4)
+    del one, two, four
     sixteen = joined(eight, eight, 8, 8)
     return mix(joined(sixteen, eight, 8, 16))
 
@@ -105,8 +106,8 @@ def two_stage_order(
     step = np.zeros(len(text), np.int8)
     step[:-1] = np.sign(text[1:].astype(np.int16) - text[:-1])
     step[ends] = 1  # the closing 0 is smaller than anything after it
-    differs = np.flatnonzero(step)
-    rising = step[differs[np.searchsorted(differs, np.arange(len(text)))]] > 0
+    differs = np.flatnonzero(step)  # the last one is the end of the last context
+    rising = np.repeat(step[differs] > 0, np.diff(differs, prepend=-1))
     up = np.flatnonzero(rising)
     last = up[np.searchsorted(up, begins + owned)]
     count = last - begins + 1
@@ -149,8 +150,9 @@ def _words_of(words: np.ndarray, at: np.ndarray, ends: np.ndarray, j: int) -> np
     """Word j (8 bytes, the first the highest) of each suffix; 0 beyond its end and the window."""
     left = np.clip(np.minimum(ends - at, WINDOW) - 8 * j, 0, 8).astype(np.uint64)
     shift = np.uint64(64) - np.uint64(8) * left
-    value = words[np.minimum(at + 8 * j, len(words) - 1)]
-    return np.where(left > 0, value >> np.minimum(shift, np.uint64(63)) << np.minimum(shift, np.uint64(63)), np.uint64(0))
+    value = words[np.minimum(at + 8 * j, len(words) - 1)].astype(np.uint64)
+    shift = np.minimum(shift, np.uint64(63))
+    return np.where(left > 0, value >> shift << shift, np.uint64(0))
 
 
 def _direct_order(words: np.ndarray, at: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -187,10 +189,9 @@ def equal_windows(contexts: list[bytes], owned: np.ndarray) -> tuple[np.ndarray,
     lengths = np.array([len(c) for c in contexts], np.int64)
     ends = np.cumsum(lengths + 1) - 1
     begins = ends - lengths
-    padded = np.concatenate([text, np.zeros(8, np.uint8)]).astype(np.uint64)
-    words = padded[:-1] << np.uint64(8) | padded[1:]
-    words = words[:-2] << np.uint64(16) | words[2:]
-    words = words[:-4] << np.uint64(32) | words[4:]
+    padded = np.concatenate([text, np.zeros(8, np.uint8)])
+    # The eight bytes from each place on as a number, the first the highest: a view, no copy.
+    words = np.ndarray(len(text), ">u8", padded, strides=(1,))
     order = two_stage_order(text, words, begins, ends, owned)
     context = np.searchsorted(ends, order)
     wanted = order - begins[context] < owned[context]
@@ -515,7 +516,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """
     ship(docs.sparkSession)
     rows = docs.select(
-        F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+        id_column(docs), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     ).withColumn("mark", F.xxhash64("text"))
     known = rows.filter("doc_id IS NOT NULL")
     prints = staged(
