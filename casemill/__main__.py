@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import argparse
+import time
 from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from casemill import fixed_values as fixed
 from casemill.operators import evaluation, reports
@@ -19,11 +21,11 @@ from casemill.sources.delimited import write_delimited, write_rows
 from casemill.sources.store import Store
 
 SAMPLE_COLUMNS = ["case_id", "domain", "original_category", "original_method", "subject"]
+# The columns of the published rows, in their order.
 RESULT_COLUMNS = [
     "case_id", "domain", "original_category", "original_method", "predicted", "match",
     "confidence", "margin", "latency_s", "subject",
 ]
-# A sample has at most as many rows as its quotas ask for; the files are written by one task.
 
 
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
@@ -39,6 +41,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
         ("export", "cases of some periods"),
         ("reset", "make the periods' rows pending again"),
         ("purge", "drop the periods' cases and status rows"),
+        ("register", "add or replace domains and seed the cases that lack a status row"),
         ("sample", "draw the stratified sample"),
         ("evaluate", "measure an engine on the stratified sample"),
     ]:
@@ -66,12 +69,19 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     return args
 
 
-def configured_domains(spark: SparkSession, args: argparse.Namespace) -> list[Domain]:
+def configured_domains(
+    spark: SparkSession, args: argparse.Namespace, store: Store
+) -> list[Domain]:
+    """The given taxonomy, else the one registered in the store, else the shipped one."""
     if args.taxonomy:
-        return load_domains(spark.read.parquet(args.taxonomy), args.domain)
-    chosen = [d for d in shipped_domains() if args.domain in (None, d.name)]
+        return load_domains(spark.read.parquet(args.taxonomy))
+    return cycle.registered_domains(store) or shipped_domains()
+
+
+def chosen_domains(domains: list[Domain], name: str | None) -> list[Domain]:
+    chosen = [d for d in domains if name in (None, d.name)]
     if not chosen:
-        raise SystemExit(f"no domain named {args.domain!r}")
+        raise SystemExit(f"no domain named {name!r}")
     return chosen
 
 
@@ -87,14 +97,17 @@ def emit(report: DataFrame, args: argparse.Namespace, name: str) -> None:
     if args.out:
         write_delimited(report, f"{args.out}/{name}", separator=",", single_file=True)
     else:
-        report.show(1_000, truncate=False)
+        print(" | ".join(report.columns))
+        for row in report.toLocalIterator():
+            print(" | ".join("" if value is None else str(value) for value in row))
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parse(argv)
     spark = spark or build_session()
     store = Store(spark, args.store)
-    domains = configured_domains(spark, args)
+    domains = configured_domains(spark, args, store)
+    chosen = chosen_domains(domains, args.domain)
     named = [args.domain] if args.domain else None
 
     if args.job == "run":
@@ -109,11 +122,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
                 force=args.force,
                 multiline=not args.splittable,
                 keyword_filter=args.keyword_filter,
+                only=named,
             )
         )
         return
+    if args.job == "register":
+        cycle.replace_domains(store, chosen)
+        return
     if args.job == "classify":
-        print(cycle.classify_store(store, domains, configured_engine(args), args.keyword_filter))
+        print(cycle.classify_store(store, chosen, configured_engine(args), args.keyword_filter))
         return
     if args.job == "reset":
         cycle.reset_store(store, args.period, named)
@@ -139,18 +156,29 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     elif args.job == "export":
         write_delimited(export_period(cases, args.period), args.out)
     else:
-        sample = stratified_sample(status, cases, fixed.SAMPLE_QUOTAS, args.seed)
+        # Staged first: the files below are written by one task each, which reads the few drawn
+        # rows and not the texts of all cases.
+        sample = store.staged(
+            "samples", stratified_sample(status, cases, fixed.SAMPLE_QUOTAS, args.seed)
+        )
         if args.job == "sample":
             write_rows(sample.coalesce(1), args.out, SAMPLE_COLUMNS)
             return
         engine = configured_engine(args, closed=True)
-        rows = evaluation.evaluate(sample, domains, engine, with_text=True)
+        started = time.perf_counter()
+        rows = evaluation.evaluate(sample, chosen, engine, with_text=True)
         evaluated = store.staged("evaluations", rows)
+        seconds = time.perf_counter() - started
         write_rows(evaluation.result_rows(evaluated).coalesce(1), args.out, RESULT_COLUMNS)
         emit(evaluation.agreement_global(evaluated), args, "agreement")
         emit(evaluation.agreement_by_domain(evaluated), args, "agreement_by_domain")
         emit(evaluation.agreement_by_category(evaluated), args, "agreement_by_category")
         emit(evaluation.confusion_matrix(evaluated), args, "confusion")
+        emit(evaluation.throughput(evaluated, seconds), args, "throughput")
+        nested = evaluation.predicted_distribution(evaluated)
+        emit(nested.withColumn("predicted", F.to_json("predicted")), args, "distribution")
+        shown = evaluation.top_disagreements(evaluated).drop("probabilities")
+        emit(shown.withColumn("top3", F.to_json("top3")), args, "disagreements")
 
 
 if __name__ == "__main__":

@@ -7,6 +7,7 @@ flags in the scan's own stage, so joins with the status rows move keys and flags
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,11 +19,22 @@ from casemill.operators.status import rewrite
 from casemill.operators.taxonomy import Domain, by_domain
 from casemill.session import durable
 
+# The answers of so many passes are stored as one table, so that the last plan stays small.
+UNITED_PASSES = 20
 
-def mark_blank(status: DataFrame, cases: DataFrame) -> DataFrame:
-    """Pending rows of cases with a blank subject are done, without a category."""
+
+def mark_blank(
+    status: DataFrame, cases: DataFrame, domains: Sequence[str] | None = None
+) -> DataFrame:
+    """Pending rows of cases with a blank subject are done, without a category.
+
+    All domains unless some are named.
+    """
     blank = cases.filter(is_blank(F.col("subject"))).select("case_id", F.lit(True).alias("_hit"))
-    return _finish(status, status.join(blank, "case_id", "left"), F.col("_hit"), METHOD_BLANK)
+    hit = F.col("_hit")
+    if domains is not None:
+        hit = hit & F.col("domain").isin(list(domains))
+    return _finish(status, status.join(blank, "case_id", "left"), hit, METHOD_BLANK)
 
 
 def keyword_misses(cases: DataFrame, domains: Sequence[Domain]) -> DataFrame:
@@ -180,37 +192,39 @@ def classify_pending(
     )
 
 
-def answer_pending(
-    status: DataFrame, cases: DataFrame, domains: Sequence[Domain], engine
-) -> DataFrame:
-    """C6 + C7/C8: normalised answers for every waiting text, NULL where the engine failed."""
-    scored = engine.score(pending_texts(status, cases), domains)
-    return engine.normalise(scored.select("case_id", "domain", "answer"), domains)
-
-
 def classify_in_passes(
     status: DataFrame,
     cases: DataFrame,
     domains: Sequence[Domain],
     engine,
-    max_passes: int = 3,
+    max_passes: int | None = None,
     keyword_filter: bool = False,
     materialise: Callable[[DataFrame], DataFrame] = durable,
 ) -> DataFrame:
-    """C1, C2, then engine passes over what is still pending.
+    """C1, C2, then engine passes over what is still pending (C10, C11); the given domains only.
 
-    The answers of a pass are computed once into durable storage, then both counted and applied,
-    because an external engine may answer differently when asked again. A domain leaves the loop
-    when a pass answers nothing for it or leaves nothing pending.
+    The waiting texts are joined and stored once. The answers of a pass are computed once into
+    durable storage, because an external engine may answer differently when asked again; its
+    failed rows are what the next pass asks. A domain leaves the loop when a pass answers nothing
+    for it or leaves nothing pending; ``max_passes`` stops earlier if the caller wants that. All
+    answers are applied to the status rows by one join at the end.
     """
-    status = mark_blank(status, cases)
+    names = [d.name for d in domains]
+    prepared = mark_blank(status, cases, names)
     if keyword_filter:
-        status = mark_no_keyword(status, cases, domains)
-    active = [d.name for d in domains]
-    for _ in range(max_passes):
-        todo = status.filter(F.col("domain").isin(active))
-        answers = materialise(answer_pending(todo, cases, domains, engine))
-        status = apply_outcomes(status, answers, engine.method)
+        prepared = mark_no_keyword(prepared, cases, domains)
+    chosen = prepared.filter(F.col("domain").isin(names))
+    waiting = materialise(pending_texts(chosen, cases))
+    given: list[DataFrame] = []
+    todo = waiting
+    passes = 0
+    while max_passes is None or passes < max_passes:
+        scored = engine.score(todo, domains).select("case_id", "domain", "answer")
+        answers = materialise(engine.normalise(scored, domains))
+        given.append(answers.filter(F.col("answer").isNotNull()))
+        passes += 1
+        if len(given) == UNITED_PASSES:
+            given = [materialise(reduce(DataFrame.unionByName, given))]
         progress = answers.groupBy("domain").agg(
             F.count("answer").alias("answered"),
             F.count_if(F.col("answer").isNull()).alias("failed"),
@@ -218,4 +232,12 @@ def classify_in_passes(
         active = [r.domain for r in progress.collect() if r.answered and r.failed]
         if not active:
             break
-    return status
+        failed = (
+            answers.filter(F.col("answer").isNull() & F.col("domain").isin(active))
+            .groupBy("case_id")
+            .agg(F.collect_set("domain").alias("domains"))
+        )
+        todo = waiting.drop("domains").join(failed, "case_id")
+    if not given:
+        return prepared
+    return apply_outcomes(prepared, reduce(DataFrame.unionByName, given), engine.method)

@@ -209,11 +209,19 @@ class TextModel:
             "case_id", *keep, "domains", vector_to_array("rawPrediction").alias("_joint")
         )
         known = {d.name: self._own(d) for d in domains}
-        weights = {
-            f"_weights_{i}": _softmax(F.array(*[F.col("_joint")[at] for _, at in own]))
+        own_scores = {
+            f"_own_{i}": F.array(*[F.col("_joint")[at] for _, at in own])
             for i, own in enumerate(known.values())
             if own
         }
+        joint = joint.withColumns(own_scores)
+        joint = joint.withColumns(
+            {f"{name}_best": F.array_max(F.col(name)) for name in own_scores}
+        )
+        weights = {
+            name.replace("_own_", "_weights_"): _softmax(F.col(name), F.col(f"{name}_best"))
+            for name in own_scores
+        }
         verdicts = []
         for i, (name, own) in enumerate(known.items()):
             labels = [label for label, _ in own]
@@ -226,8 +234,8 @@ class TextModel:
         return [(c, i) for i, (owner, c) in enumerate(self.labels) if owner == d.name]
 
 
-def _softmax(logits: Column) -> Column:
-    return F.transform(logits, lambda x: F.exp(x - F.array_max(logits)))
+def _softmax(logits: Column, best: Column) -> Column:
+    return F.transform(logits, lambda x: F.exp(x - best))
 
 
 def _ranked_verdict(domain: str, labels: Sequence[str], weights: Column) -> Column:
@@ -278,11 +286,11 @@ class CallableEngine:
     def score(
         self, texts: DataFrame, domains: Sequence[Domain], keep: Sequence[str] = ()
     ) -> DataFrame:
+        if self.concurrency:
+            texts = texts.repartition(self.concurrency, "case_id")
         rows = texts.select("case_id", F.explode("domains").alias("domain"), *keep, "subject")
         if self.prepare is not None:
             rows = self.prepare(rows, domains)
-        if self.concurrency:
-            rows = rows.repartition(self.concurrency, "case_id", "domain")
         kept = ["case_id", "domain", *keep]
         schema = T.StructType([*[rows.schema[c] for c in kept], *SCORE_FIELDS])
         score_batch = _batch_scorer(self.batch_rows, self.retries, self.wait_s, kept)

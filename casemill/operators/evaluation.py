@@ -7,13 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casemill.fixed_values import ERROR_LABEL
+from casemill.fixed_values import ERROR_LABEL, NOT_APPLICABLE
 from casemill.functions.numbers import percent
 from casemill.operators.taxonomy import Domain
 
 # Fixed value: how many disagreements the published report shows.
 SHOWN_DISAGREEMENTS = 8
 
+# Column of the wide confusion table for predictions that are none of the labels.
+OTHER_LABEL = "OTHER"
+
 
 def evaluate(
     sample: DataFrame, domains: Sequence[Domain], engine, with_text: bool = False
@@ -132,13 +135,21 @@ def _without_error_text(predicted: Column) -> Column:
 
 
 def confusion_wide(evaluated: DataFrame, domain: str, labels: Sequence[str]) -> DataFrame:
-    """A15 as a cross table of one domain; ``labels`` are the prediction columns."""
+    """A15 as a cross table of one domain; ``labels`` are the prediction columns.
+
+    ``NO_APLICA``, all errors together and any other prediction have columns of their own, so the
+    columns of a row add up to ``total``, the count of the category report (A14).
+    """
+    columns = list(dict.fromkeys([*labels, NOT_APPLICABLE, ERROR_LABEL]))
+    predicted = _without_error_text(F.col("predicted"))
+    shown = F.when(predicted.isin(columns), predicted).otherwise(OTHER_LABEL)
     return (
         evaluated.filter(F.col("domain") == domain)
         .groupBy("original_category")
-        .pivot("predicted", list(labels))
-        .agg(F.count(F.lit(1)))
-        .na.fill(0)
+        .agg(
+            *[F.count_if(shown == c).alias(c) for c in [*columns, OTHER_LABEL]],
+            F.count("*").alias("total"),
+        )
         .orderBy("original_category")
     )
 

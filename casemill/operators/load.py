@@ -1,8 +1,9 @@
 """Intake: rejects (S4), insert-if-absent (S5) and exact accounting.
 
-The incoming rows cross the network once, hashed on the key. Copies of a hot key are cut to one
-row per map task before that shuffle (the partial window group limit), and the anti-join against
-the stored keys reuses the same partitioning and sort order.
+Which rows are new is decided on keys and order alone. Copies of a hot key are cut to one row per
+map task before the shuffle (the partial window group limit), and the anti-join against the stored
+keys reuses the same partitioning and sort order. Only then the new rows' other columns are
+fetched, so a cumulative export whose rows are nearly all known moves nearly no texts.
 """
 
 from __future__ import annotations
@@ -47,8 +48,20 @@ def first_per_key(rows: DataFrame, order: Sequence[Column], key: str = "case_id"
 def new_rows(
     incoming: DataFrame, stored_keys: DataFrame, order: Sequence[Column], key: str = "case_id"
 ) -> DataFrame:
-    """What an insert-if-absent of ``incoming`` would add; the first occurrence wins."""
-    return first_per_key(incoming, order, key).join(stored_keys.select(key), key, "left_anti")
+    """What an insert-if-absent of ``incoming`` would add; the first occurrence wins.
+
+    ``incoming`` is read twice, first its key and order only. Rows that tie in both are equal
+    firsts, of which one is taken.
+    """
+    names = [f"_order_{i}" for i in range(len(order))]
+    placed = incoming.withColumns(dict(zip(names, order, strict=True)))
+    ranks = [F.col(n) for n in names]
+    firsts = first_per_key(placed.select(key, *names), ranks, key)
+    wanted = firsts.join(stored_keys.select(key), key, "left_anti")
+    wanted = wanted.withColumnsRenamed({n: f"_w{n}" for n in [key, *names]})
+    same = [F.col(n).eqNullSafe(F.col(f"_w{n}")) for n in names]
+    fresh = placed.join(wanted, [F.col(key) == F.col(f"_w{key}"), *same], "left_semi")
+    return first_per_key(fresh, ranks, key).drop(*names)
 
 
 def load_accounting(

@@ -9,9 +9,6 @@ from casemill.functions.text import has_text
 
 Quotas = dict[tuple[str, str], int]
 
-# Up to this many drawn keys are broadcast to the texts; more are joined by a shuffle.
-BROADCAST_ROWS = 200_000
-
 # Slices of a stratum that are cut to the quota in parallel before the final cut.
 SLICES = 64
 
@@ -28,8 +25,8 @@ def stratified_sample(
 
     Only keys are shuffled and ranked. A hot stratum is cut twice: first within ``SLICES`` parts
     of it in parallel, each to the quota, then over the survivors; a row of the final sample is
-    always among the first ``quota`` of its slice, so the result is exact. The quotas bound the
-    drawn keys, so they are broadcast to the texts, which then stay where they are.
+    always among the first ``quota`` of its slice, so the result is exact. How the drawn keys meet
+    the texts is Spark's choice.
     """
     strata = status.sparkSession.createDataFrame(
         [(d, c, q) for (d, c), q in quotas.items()], "domain string, category string, quota int"
@@ -39,7 +36,7 @@ def stratified_sample(
     candidates = (
         status.filter(F.col("category").isNotNull())
         .select("domain", "case_id", "category", "method")
-        .join(F.broadcast(strata), ["domain", "category"])  # one row per quota given
+        .join(strata, ["domain", "category"])
         .join(readable.select("case_id"), "case_id", "left_semi")
         .withColumn("_key", random_order(seed))
         .withColumn("_slice", F.pmod(F.hash("case_id"), F.lit(SLICES)))
@@ -55,8 +52,6 @@ def stratified_sample(
         .filter(F.col("_n") <= F.col("quota"))
         .drop("_n", "_key", "_slice", "quota")
     )
-    if sum(quotas.values()) <= BROADCAST_ROWS:
-        drawn = F.broadcast(drawn)
     return readable.select("case_id", "subject").join(drawn, "case_id").select(
         "case_id",
         "domain",

@@ -11,10 +11,6 @@ from pyspark.sql import functions as F
 from casemill import fixed_values as fixed
 from casemill.schema import TAXONOMY
 
-# A taxonomy is configuration that people write. Anything above this is not one, and would make
-# plans unreasonably wide, so reading it stops with an error instead of pulling it to the driver.
-MAX_DOMAINS = 1_000
-
 
 @dataclass(frozen=True)
 class Domain:
@@ -71,11 +67,12 @@ def dump_taxonomy(taxonomy: DataFrame) -> DataFrame:
 
 
 def load_domains(taxonomy: DataFrame, only: str | None = None) -> list[Domain]:
-    """The configured domains, or one of them, ordered by name."""
+    """The configured domains, or one of them, ordered by name.
+
+    A taxonomy is configuration that people write: a row per topic, which enter plans as literals.
+    """
     chosen = taxonomy if only is None else taxonomy.filter(F.col("domain") == only)
-    rows = chosen.orderBy("domain").limit(MAX_DOMAINS + 1).collect()
-    if len(rows) > MAX_DOMAINS:
-        raise ValueError(f"a taxonomy holds at most {MAX_DOMAINS} domains")
+    rows = chosen.orderBy("domain").collect()
     if only is not None and not rows:
         raise ValueError(f"no domain named {only!r}")
     return [

@@ -8,13 +8,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
+from casemill.fixed_values import NOT_APPLICABLE
 from casemill.operators.cascade import classify_new
 from casemill.operators.engines import TermRules
 from casemill.operators.status import seed_status
 from casemill.operators.taxonomy import Domain
-from casemill.sources.small import spread_small_scan
 
 _TEMPLATE = """Domain: {clase_upper} ({clase})
 {categories_list}
@@ -75,15 +74,8 @@ SECOND_RULES = TermRules(
 LANGUAGE_LABELS = {"en": "English", "de": "German", "es": "Spanish", "fr": "French"}
 
 
-_SCHEMAS: dict[str, StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A benchmark table; its footer is read once, not by every query that uses it."""
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def cases(
@@ -100,7 +92,8 @@ def cases(
     joined = orders
     if subject:
         documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-        joined, documents = spread_small_scan(joined), spread_small_scan(documents)
+        # Dealt by the join's key once, so that the text work has tasks and nothing moves twice.
+        documents = documents.repartition("doc_id")
         joined = joined.join(documents, joined.o_orderkey == documents.doc_id, "left")
         columns += [F.col("text").alias("subject"), "lang", "source"]
     if register_date:
@@ -134,8 +127,8 @@ def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored labels for an evaluation: each document's language, and its toxicity label."""
-    documents = spread_small_scan(table(spark, sf_dir, "documents"))
+    """Stored labels for an evaluation: each document's language, and one from every label row."""
+    documents = table(spark, sf_dir, "documents").repartition("doc_id")
     language = F.create_map(*[F.lit(x) for pair in LANGUAGE_LABELS.items() for x in pair])
     by_language = documents.select(
         F.col("doc_id").cast("string").alias("case_id"),
@@ -144,11 +137,16 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("LABEL").alias("original_method"),
         F.col("text").alias("subject"),
     )
-    labels = table(spark, sf_dir, "labels").filter("toxic = 1").select("doc_id")
+    labels = table(spark, sf_dir, "labels")
+    grade = (
+        F.when(F.col("toxic") == 1, "Insult")
+        .when(F.col("quality") == 0, "Contempt")
+        .otherwise(NOT_APPLICABLE)
+    )
     by_label = documents.join(labels, "doc_id").select(
         F.col("doc_id").cast("string").alias("case_id"),
         F.lit("abusive_words").alias("domain"),
-        F.lit("Insult").alias("original_category"),
+        grade.alias("original_category"),
         F.lit("LABEL").alias("original_method"),
         F.col("text").alias("subject"),
     )

@@ -2,8 +2,9 @@
 
 Tables in the store: ``cases`` (append only, partitioned by load), ``status_pending`` and
 ``status_done`` (one status table in two parts, so a run rewrites the pending rows only),
-``rejects``, ``ledger`` and ``domains``. A status row remembers the load of its case, so that a
-run over the pending rows reads the texts of those loads only, not the whole master table.
+``rejects``, ``ledger`` and ``domains`` (the registered taxonomy). A status row remembers the load
+of its case, so that a run over the pending rows reads the texts of those loads only, not the
+whole master table. Reset and purge rewrite the folders that hold affected rows and no others.
 """
 
 from __future__ import annotations
@@ -19,38 +20,40 @@ from pyspark.sql import types as T
 
 from casemill.operators.cascade import classify_in_passes, classify_pending
 from casemill.operators.engines import TermRules
-from casemill.operators.lifecycle import purge_cases, purge_status, reset_status
+from casemill.operators.lifecycle import (
+    cases_in_periods,
+    purge_cases,
+    purge_status,
+    reset_status,
+)
 from casemill.operators.load import REASON, accepted, new_rows, rejected, tag_rejects
-from casemill.operators.status import missing_status, seed_status
-from casemill.operators.taxonomy import Domain
-from casemill.schema import STATUS
+from casemill.operators.status import missing_status
+from casemill.operators.taxonomy import Domain, load_domains, taxonomy_frame, upsert_taxonomy
+from casemill.schema import STATUS, TAXONOMY
 from casemill.sources.delimited import LOAD_ORDER, RAGGED, read_export
 from casemill.sources.ledger import LEDGER, changed_sources, list_sources
-from casemill.sources.store import Part, Store, write_snapshot
+from casemill.sources.store import PART, Part, Store, write_snapshot
 
-PENDING, DONE, CASES = "status_pending", "status_done", "cases"
+PENDING, DONE, CASES, DOMAINS = "status_pending", "status_done", "cases", "domains"
 LOAD = "load_id"
 
 STORED_STATUS = T.StructType([*STATUS.fields, T.StructField(LOAD, T.StringType())])
 NO_CASES = f"case_id string, subject string, entry_date string, register_date string, {LOAD} string"
 
-# Above this many loads a run scans all texts instead of listing the loads in the plan.
-MAX_LISTED_LOADS = 10_000
-
-# Up to this many waiting keys (some tens of MB) are broadcast to pick their texts; with more, the
-# texts are judged where they are and only the verdicts are joined.
-MAX_BROADCAST_KEYS = 500_000
-
 
 @dataclass(frozen=True)
 class LoadCounts:
-    """processed = inserted + existing + rejected; ``ragged`` rows are among them."""
+    """processed = inserted + existing + rejected; ``ragged`` rows are among them.
+
+    ``kept`` counts status rows that inserted cases had already, left by a partial purge.
+    """
 
     processed: int
     inserted: int
     existing: int
     rejected: int
     ragged: int
+    kept: int = 0
 
 
 @dataclass(frozen=True)
@@ -95,7 +98,8 @@ def load_rows(
     """S4 to S7 for one batch of canonical rows; all tables change in one commit.
 
     The batch is parsed once into a staging folder; counts, rejects and inserts read that.
-    ``sources`` are ledger rows to record with the batch.
+    Inserted cases are seeded for every registered domain; a status row that a partial purge has
+    left stays as it is. ``sources`` are ledger rows to record with the batch.
     """
     register_domains(store, domains)
     staged = store.staged("staging", tag_rejects(rows))
@@ -103,7 +107,11 @@ def load_rows(
     stamped = fresh.drop(LOAD_ORDER, RAGGED).withColumn(LOAD, F.lit(uuid.uuid4().hex))
     cases = _write_cases(store, stamped)
     inserted = store.open_part(cases)
-    seeds = seed_status(inserted, [d.name for d in domains], keep=[LOAD])
+    names = [d.name for d in registered_domains(store)]
+    left = read_status(store).select("domain", "case_id").join(
+        inserted.select("case_id"), "case_id", "left_semi"
+    )
+    seeds = missing_status(inserted, left, names, keep=[LOAD])
     added = {
         CASES: cases,
         PENDING: _write_status(store, PENDING, seeds),
@@ -117,41 +125,58 @@ def load_rows(
         F.count_if(RAGGED).alias("ragged"),
     ).head()
     n_inserted = inserted.count()
+    n_seeds = store.open_part(added[PENDING]).count()
     store.commit(append=added)
     existing = totals.processed - totals.rejected - n_inserted
-    return LoadCounts(totals.processed, n_inserted, existing, totals.rejected, totals.ragged)
+    kept = n_inserted * len(names) - n_seeds
+    return LoadCounts(totals.processed, n_inserted, existing, totals.rejected, totals.ragged, kept)
+
+
+def registered_domains(store: Store) -> list[Domain]:
+    """The taxonomy that the store knows."""
+    return load_domains(store.read(DOMAINS, TAXONOMY))
+
+
+def _missing(store: Store, names: Sequence[str]) -> Part:
+    """The pending rows that stored cases lack for these domains."""
+    status = read_done(store).unionByName(read_pending(store))
+    seeds = missing_status(read_cases(store), status, list(names), keep=[LOAD])
+    return _write_status(store, PENDING, seeds)
 
 
 def register_domains(store: Store, domains: Sequence[Domain]) -> list[str]:
-    """S8 + S9: seed the stored cases for domains the store does not know yet."""
-    known = {r.domain for r in store.read("domains", "domain string").distinct().collect()}
-    added = [d.name for d in domains if d.name not in known]
+    """S8 + S9: add the domains the store does not know yet and seed the stored cases for them."""
+    known = {d.name for d in registered_domains(store)}
+    added = [d for d in domains if d.name not in known]
     if added:
-        names = store.spark.createDataFrame([(n,) for n in added], "domain string")
-        status = read_done(store).unionByName(read_pending(store))
-        seeds = missing_status(read_cases(store), status, added, keep=[LOAD])
+        rows = taxonomy_frame(store.spark, added)
         store.commit(
             append={
-                "domains": store.write_part("domains", names),
-                PENDING: _write_status(store, PENDING, seeds),
+                DOMAINS: store.write_part(DOMAINS, rows),
+                PENDING: _missing(store, [d.name for d in added]),
             }
         )
-    return added
+    return [d.name for d in added]
+
+
+def replace_domains(store: Store, domains: Sequence[Domain]) -> None:
+    """S9 as a job: add or replace these domains, and seed every stored case that lacks a row."""
+    changed = taxonomy_frame(store.spark, domains)
+    merged = upsert_taxonomy(store.read(DOMAINS, TAXONOMY), changed)
+    store.commit(
+        append={PENDING: _missing(store, [d.name for d in domains])},
+        replace={DOMAINS: store.write_part(DOMAINS, merged)},
+    )
 
 
 def cases_of(cases: DataFrame, waiting: DataFrame) -> DataFrame:
-    """The cases that waiting status rows need, or a superset of them.
+    """The cases of the loads that waiting status rows belong to: a superset of what they need.
 
-    Their loads become a partition filter on the scan. When few rows wait, as after a reset or
-    some failures, their keys are broadcast, so that no other text is looked at.
+    The join is on the partition column, so loads without waiting rows aren't read when Spark
+    finds the list of loads small enough to prune by it. Which rows change is decided by the steps
+    themselves, so a wider superset gives the same result.
     """
-    loads = waiting.select(LOAD).distinct().limit(MAX_LISTED_LOADS + 1).collect()
-    if len(loads) <= MAX_LISTED_LOADS:
-        cases = cases.filter(F.col(LOAD).isin([r[LOAD] for r in loads]))
-    keys = waiting.select("case_id")
-    if keys.limit(MAX_BROADCAST_KEYS + 1).count() <= MAX_BROADCAST_KEYS:
-        cases = cases.join(F.broadcast(keys.distinct()), "case_id", "left_semi")
-    return cases
+    return cases.join(waiting.select(LOAD).distinct(), LOAD, "left_semi")
 
 
 def classify_store(
@@ -159,7 +184,7 @@ def classify_store(
     domains: Sequence[Domain],
     engine,
     keyword_filter: bool = False,
-    max_passes: int = 3,
+    max_passes: int | None = None,
 ) -> dict[str, int]:
     """C1 to C11 over the pending rows of the given domains (F9); returns what is left (A10)."""
     pending = read_pending(store)
@@ -178,44 +203,67 @@ def classify_store(
             keyword_filter,
             lambda df: store.staged("answers", df),
         )
-    _store_outcome(store, result, keep_done=True)
-    left = read_pending(store).groupBy("domain").count().collect()
-    counts = {r["domain"]: r["count"] for r in left}
+    staged = store.staged("staging", result)
+    done = _write_status(store, DONE, staged.filter("processed"))
+    left = _write_status(store, PENDING, staged.filter(~F.col("processed")))
+    store.commit(append={DONE: done}, replace={PENDING: left})
+    rows = read_pending(store).groupBy("domain").count().collect()
+    counts = {r["domain"]: r["count"] for r in rows}
     return {name: counts.get(name, 0) for name in names}
 
 
-def _store_outcome(store: Store, status: DataFrame, keep_done: bool) -> None:
-    """Split computed rows into the two parts; one of them grows, the other starts anew."""
-    staged = store.staged("staging", status)
-    done = _write_status(store, DONE, staged.filter("processed"))
-    pending = _write_status(store, PENDING, staged.filter(~F.col("processed")))
-    if keep_done:
-        store.commit(append={DONE: done}, replace={PENDING: pending})
-    else:
-        store.commit(append={PENDING: pending}, replace={DONE: done})
+def _affected(store: Store, name: str, keys: DataFrame, domains: Sequence[str] | None) -> list[str]:
+    """The folders of a status table with rows of these cases: one name per folder."""
+    rows = store.read_parts(name, STORED_STATUS)
+    if domains is not None:
+        rows = rows.filter(F.col("domain").isin(list(domains)))
+    hit = rows.select("case_id", PART).join(keys, "case_id", "left_semi")
+    return [r[PART] for r in hit.select(PART).distinct().collect()]
 
 
 def reset_store(
     store: Store, prefixes: Sequence[str], domains: Sequence[str] | None = None
 ) -> None:
-    """P2 on the stored tables."""
-    status = reset_status(read_done(store), read_cases(store), prefixes, domains)
-    _store_outcome(store, status, keep_done=False)
+    """P2 on the stored tables. Only folders of finished rows that hold affected ones are
+    rewritten; the reset rows join the pending ones as a new folder."""
+    cases = read_cases(store)
+    keys = cases_in_periods(cases, prefixes).select("case_id")
+    parts = _affected(store, DONE, keys, domains)
+    if not parts:
+        return
+    touched = store.read_folders(DONE, parts)
+    staged = store.staged("staging", reset_status(touched, cases, prefixes, domains))
+    store.commit(
+        append={
+            DONE: _write_status(store, DONE, staged.filter("processed")),
+            PENDING: _write_status(store, PENDING, staged.filter(~F.col("processed"))),
+        },
+        drop={DONE: parts},
+    )
 
 
 def purge_store(
     store: Store, prefixes: Sequence[str], domains: Sequence[str] | None = None
 ) -> None:
-    """P3 on the stored tables: status rows first chosen through the master, then the master."""
+    """P3 on the stored tables: status rows first chosen through the master, then the master.
+
+    Folders without an affected row stay as they are, in all three tables.
+    """
     cases = read_cases(store)
-    kept = {
-        PENDING: _write_status(
-            store, PENDING, purge_status(read_pending(store), cases, prefixes, domains)
-        ),
-        DONE: _write_status(store, DONE, purge_status(read_done(store), cases, prefixes, domains)),
-        CASES: _write_cases(store, purge_cases(cases, prefixes)),
-    }
-    store.commit(replace=kept)
+    keys = cases_in_periods(cases, prefixes).select("case_id")
+    append, drop = {}, {}
+    for name in (PENDING, DONE):
+        parts = _affected(store, name, keys, domains)
+        if parts:
+            kept = purge_status(store.read_folders(name, parts), cases, prefixes, domains)
+            append[name], drop[name] = _write_status(store, name, kept), parts
+    victims = cases_in_periods(store.read_parts(CASES, NO_CASES), prefixes)
+    parts = [r[PART] for r in victims.select(PART).distinct().collect()]
+    if parts:
+        kept = purge_cases(store.read_folders(CASES, parts), prefixes)
+        append[CASES], drop[CASES] = _write_cases(store, kept), parts
+    if drop:
+        store.commit(append=append, drop=drop)
 
 
 def run_cycle(
@@ -228,10 +276,13 @@ def run_cycle(
     force: bool = False,
     multiline: bool = True,
     keyword_filter: bool = False,
-    max_passes: int = 3,
+    max_passes: int | None = None,
+    only: Sequence[str] | None = None,
 ) -> CycleReport:
     """P1. Without a changed source the run ends early; ``force`` takes every file again.
 
+    ``domains`` are registered and seeded; ``only`` limits the classification to some of them.
+
     Otherwise classification runs even when nothing was inserted, so rows that failed before are
     retried. Only when rows were inserted the new state is tagged, which copies nothing, and
     with a ``snapshot_root`` also copied there as a backup.
@@ -245,7 +296,8 @@ def run_cycle(
         return CycleReport(changed=False)
     rows = read_export(spark, [path for path, _, _ in files], multiline)
     load = load_rows(store, rows, domains, spark.createDataFrame(files, LEDGER))
-    pending = classify_store(store, domains, engine, keyword_filter, max_passes)
+    chosen = [d for d in domains if only is None or d.name in only]
+    pending = classify_store(store, chosen, engine, keyword_filter, max_passes)
     stamp = None
     if load.inserted:
         stamp = datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S")

@@ -191,7 +191,9 @@ labelled AS (
                    WHEN 'fr' THEN 'French' END AS original_category
   FROM documents
   UNION ALL
-  SELECT CAST(doc_id AS VARCHAR), 'abusive_words', 'Insult' FROM labels WHERE toxic = 1
+  SELECT CAST(doc_id AS VARCHAR), 'abusive_words',
+         CASE WHEN toxic = 1 THEN 'Insult' WHEN quality = 0 THEN 'Contempt' ELSE 'NO_APLICA' END
+  FROM labels
 ),
 counted AS (
   SELECT l.case_id, l.domain, l.original_category,
@@ -328,7 +330,7 @@ new AS (
   SELECT source AS domain,
          string_agg(DISTINCT 'quality ' || quality, '|' ORDER BY 'quality ' || quality) AS categories,
          string_agg(DISTINCT lang, '|' ORDER BY lang) AS keywords
-  FROM documents JOIN labels USING (doc_id) WHERE toxic = 1 GROUP BY source)
+  FROM documents JOIN labels USING (doc_id) GROUP BY source)
 SELECT * FROM new UNION ALL SELECT * FROM old WHERE domain NOT IN (SELECT domain FROM new)""",
     "taxonomy_json": """
 SELECT source AS domain, to_json(list(DISTINCT lang ORDER BY lang))::VARCHAR AS categories,
@@ -613,7 +615,12 @@ SELECT domain, original_category, predicted, count(*) AS total FROM evaluated GR
 SELECT original_category, count(*) FILTER (WHERE predicted = 'English') AS "English",
        count(*) FILTER (WHERE predicted = 'German') AS "German",
        count(*) FILTER (WHERE predicted = 'Spanish') AS "Spanish",
-       count(*) FILTER (WHERE predicted = 'French') AS "French"
+       count(*) FILTER (WHERE predicted = 'French') AS "French",
+       count(*) FILTER (WHERE predicted = 'NO_APLICA') AS "NO_APLICA",
+       count(*) FILTER (WHERE predicted LIKE 'ERROR%') AS "ERROR",
+       count(*) FILTER (WHERE predicted NOT IN ('English', 'German', 'Spanish', 'French',
+                        'NO_APLICA') AND predicted NOT LIKE 'ERROR%') AS "OTHER",
+       count(*) AS total
 FROM evaluated WHERE domain = 'language' GROUP BY 1""",
     "predicted_distribution": ON_EVALUATION
     + """

@@ -18,7 +18,6 @@ from casemill.operators.sampling import stratified_sample
 from casemill.operators.taxonomy import dump_taxonomy, parse_taxonomy, upsert_taxonomy
 from casemill.plans import bindings as b
 from casemill.schema import STATUS, add_missing_columns
-from casemill.sources.ledger import changed_sources, list_sources
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -130,7 +129,6 @@ def taxonomy_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     graded = (
         b.table(spark, sf_dir, "labels")
-        .filter("toxic = 1")
         .join(documents, "doc_id")
         .withColumn("grade", F.concat(F.lit("quality "), F.col("quality").cast("string")))
     )
@@ -367,7 +365,7 @@ def _word_scorer():
 def classify_callable(spark: SparkSession, sf_dir: str) -> DataFrame:
     engine = CallableEngine(_word_scorer(), retries=0, batch_rows=50)
     return cascade.classify_in_passes(
-        b.status(spark, sf_dir), b.texts_of(spark, sf_dir), b.DOMAINS, engine, max_passes=2
+        b.status(spark, sf_dir), b.texts_of(spark, sf_dir), b.DOMAINS, engine
     )
 
 
@@ -375,7 +373,7 @@ def classify_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A text model trained on the classified rows answers the pending ones."""
     rows, texts = b.status(spark, sf_dir), b.texts_of(spark, sf_dir)
     trained = TextModel.fit(rows.filter("method = 'IA'"), texts)
-    return cascade.classify_in_passes(rows, texts, b.DOMAINS, trained, max_passes=1)
+    return cascade.classify_in_passes(rows, texts, b.DOMAINS, trained)
 
 
 # --- lifecycle --------------------------------------------------------------------------------
@@ -473,18 +471,6 @@ def top_disagreements(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# --- sources ----------------------------------------------------------------------------------
-
-
-def changed_source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Table files that differ from a ledger in which the small tables are up to date."""
-    listing = list_sources(spark, sf_dir, "*.parquet")
-    seen = listing.filter(F.col("length") < 100_000)
-    return changed_sources(listing, seen).select(
-        F.element_at(F.split("path", "/"), -1).alias("file"), "length"
-    )
-
-
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in [
@@ -542,6 +528,5 @@ QUERIES: dict[str, Query] = {
         confusion_wide,
         predicted_distribution,
         top_disagreements,
-        changed_source_files,
     ]
 }

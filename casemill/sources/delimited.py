@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,18 +56,34 @@ def read_export(
 ) -> DataFrame:
     """S1 + S3: an export as canonical text columns plus ``was_ragged`` and ``load_order``.
 
+    Every file is read by its own header (its first record is read for that), files with equal
+    headers together; columns that a file lacks are NULL. ``names`` overrides all headers.
     Short rows are padded with NULL, long rows are cut, both are flagged. An empty field is NULL.
     ``multiline=False`` lets Spark split a file among tasks; use it when no quoted field holds a
     line break. ``load_order`` sorts rows by file time, file, position: "first in the file".
     """
-    names = read_header(spark, path) if names is None else list(names)
+    if names is not None:
+        return _read_alike(spark, path, multiline, list(names))
+    alike: dict[tuple[str, ...], list[str]] = {}
+    for file in export_files(spark, path):
+        alike.setdefault(tuple(read_header(spark, file)), []).append(file)
+    parts = [_read_alike(spark, files, multiline, list(n)) for n, files in alike.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _read_alike(
+    spark: SparkSession, path: str | Sequence[str], multiline: bool, names: list[str]
+) -> DataFrame:
     reader = spark.read.options(**_options(multiline, True)).schema(export_schema(names))
     return tidy_export(reader.csv(path), names)
 
 
-def export_reader(reader: DataFrameReader, names: Sequence[str], multiline: bool = True):
-    """The same settings on any reader, e.g. ``spark.readStream``."""
-    return reader.options(**_options(multiline, True)).schema(export_schema(names))
+def export_files(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
+    """The files of an export: the listing that every batch read keeps on the driver."""
+    files = spark.read.text(path).inputFiles()
+    if not files:
+        raise ValueError(f"no export in {path}")
+    return sorted(files)
 
 
 def tidy_export(raw: DataFrame, names: Sequence[str]) -> DataFrame:

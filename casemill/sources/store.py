@@ -25,6 +25,16 @@ _LOG = "name string, version long, folders array<string>, columns string"
 _TAGS = "stamp string, name string, folders array<string>, columns string"
 
 
+# Column that names the folder of a row.
+PART = "_part"
+_PART_PATTERN = "/part=([0-9a-f]{32})/"
+
+
+def _token(folder: str) -> str:
+    """The part of a folder's name that is its own, however its path is written."""
+    return folder.rpartition("part=")[2]
+
+
 @dataclass(frozen=True)
 class Part:
     """A written folder that a commit can make current."""
@@ -65,6 +75,23 @@ class Store:
         reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/{name}")
         return reader.parquet(*folders).select(*[f"`{n}`" for n in schema.fieldNames()])
 
+    def folders(self, name: str) -> list[str]:
+        return self._current().get(name, (0, [], None))[1]
+
+    def read_parts(self, name: str, empty: T.StructType | str) -> DataFrame:
+        """The current rows with the folder each one is in, as ``PART``."""
+        _, folders, schema = self._current().get(name, (0, [], None))
+        if not folders:
+            return self.spark.createDataFrame([], empty).withColumn(PART, F.lit(""))
+        reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/{name}")
+        token = F.regexp_extract("_metadata.file_path", _PART_PATTERN, 1).alias(PART)
+        return reader.parquet(*folders).select(*[f"`{n}`" for n in schema.fieldNames()], token)
+
+    def read_folders(self, name: str, tokens: Sequence[str]) -> DataFrame:
+        """The rows of some of the current folders, given by their tokens."""
+        _, folders, schema = self._current()[name]
+        return self._open(name, [f for f in folders if _token(f) in set(tokens)], schema)
+
     def tag(self, stamp: str) -> None:
         """S17 without a copy: keep the current state under a name; folders never change."""
         rows = [(stamp, n, f, c.json()) for n, (_, f, c) in self._current().items()]
@@ -104,14 +131,25 @@ class Store:
         return self.open_part(self.write_part(name, df))
 
     def commit(
-        self, append: Mapping[str, Part] | None = None, replace: Mapping[str, Part] | None = None
+        self,
+        append: Mapping[str, Part] | None = None,
+        replace: Mapping[str, Part] | None = None,
+        drop: Mapping[str, Sequence[str]] | None = None,
     ) -> None:
-        """Make written folders current, all tables at once."""
+        """Make written folders current, all tables at once; ``drop`` names folders that go."""
         current = self._current()
         rows = []
-        for name, part in (append or {}).items():
+        append, drop = append or {}, drop or {}
+        for name in dict.fromkeys([*append, *drop]):
             version, folders, schema = current.get(name, (0, [], None))
-            rows.append((name, version + 1, [*folders, part.folder], _merged(schema, part.schema)))
+            gone = set(drop.get(name, ()))
+            folders = [f for f in folders if _token(f) not in gone]
+            columns = None if schema is None else schema.json()
+            if name in append:
+                folders = [*folders, append[name].folder]
+                columns = _merged(schema, append[name].schema)
+            if columns is not None:
+                rows.append((name, version + 1, folders, columns))
         for name, part in (replace or {}).items():
             version, _, _ = current.get(name, (0, [], None))
             rows.append((name, version + 1, [part.folder], part.schema.json()))

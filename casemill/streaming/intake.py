@@ -9,9 +9,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from casemill.operators.taxonomy import Domain
 from casemill.plans.cycle import load_rows
-from casemill.sources.delimited import export_reader, read_header, tidy_export
+from casemill.sources.delimited import read_export
 from casemill.sources.store import Store
 
+# What Spark's file source tells about each file; of these only the path is read.
+FILES = "path string, modificationTime timestamp, length long, content binary"
+
 
 def start_intake(
     store: Store,
@@ -24,21 +27,24 @@ def start_intake(
 ) -> StreamingQuery:
     """Load every file that landed since the last run, then stop (``availableNow``).
 
-    The stream remembers paths: a file that grows in place is not read again, so land new
-    versions under new names or use the ledger. A batch that is replayed after a failure inserts
-    nothing twice, because its keys are already stored.
+    The stream carries paths only, never contents; each batch of files is then read like any
+    export, every file by its own header. The stream remembers paths: a file that grows in place
+    is not read again, so land new versions under new names or use the ledger. A batch that is
+    replayed after a failure inserts nothing twice, because its keys are already stored.
     """
     spark = store.spark
-    names = read_header(spark, landing) if names is None else list(names)
 
     def load(batch: DataFrame, _: int) -> None:
-        load_rows(store, tidy_export(batch, names), domains)
+        paths = [r.path for r in batch.collect()]  # at most files_per_batch
+        if paths:
+            load_rows(store, read_export(spark, paths, multiline, names), domains)
 
     landed = (
-        export_reader(spark.readStream, names, multiline)
+        spark.readStream.format("binaryFile")
+        .schema(FILES)
         .option("maxFilesPerTrigger", files_per_batch)
-        .csv(landing)
-        .select("*", "_metadata")
+        .load(landing)
+        .select("path")
     )
     return (
         landed.writeStream.foreachBatch(load)

@@ -117,6 +117,11 @@ def test_agreement_grains(evaluated):
 def test_confusion_forms(evaluated):
     wide = {r.original_category: r for r in ev.confusion_wide(evaluated, "pets", ["Dog", "Cat"]).collect()}
     assert (wide["Dog"].Dog, wide["Dog"].Cat, wide["Bird"].Cat) == (1, 1, 0)
+    errors = {r.original_category: (r.ERROR, r.NO_APLICA, r.OTHER) for r in wide.values()}
+    assert errors["Cat"] == (1, 0, 0)
+    totals = {r.original_category: r.total for r in ev.agreement_by_category(evaluated).collect()}
+    for category, r in wide.items():
+        assert r.Dog + r.Cat + r.NO_APLICA + r.ERROR + r.OTHER == r.total == totals[category]
     nested = {r.original_category: r.predicted for r in ev.predicted_distribution(evaluated).collect()}
     assert nested == {"Dog": {"Dog": 1, "Cat": 1}, "Cat": {"Cat": 1, "ERROR": 1}, "Bird": {"Dog": 1}}
 

@@ -4,31 +4,29 @@ import pytest
 from conftest import as_set, plan_of
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
 from casemill.operators import load
 from casemill.operators.taxonomy import Domain
-from casemill.sources.small import spread_small_scan
+from casemill.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 RUN_WHILE_BUILT = {"classify_callable", "classify_model"}
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - RUN_WHILE_BUILT))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - RUN_WHILE_BUILT))
 def test_no_pairs_and_no_python(spark, name):
     """With broadcasts off, every join is an equi-join, and nothing leaves the JVM."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = plan_of(queries()[name](spark, SF))
+        plan = plan_of(QUERIES[name](spark, SF))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     assert "Python" not in plan and "MapInPandas" not in plan and "ArrowEval" not in plan
-    hinted = plan.count("BroadcastExchange")
-    assert hinted == (0 if name not in {"sample_strata", "evaluate_sample"} else 2)
+    assert "BroadcastExchange" not in plan
 
 
 def test_only_needed_columns_are_read(spark):
-    plan = plan_of(queries()["cases_per_month"](spark, SF))
+    plan = plan_of(QUERIES["cases_per_month"](spark, SF))
     assert plan.count("FileScan") == 1
     assert "ReadSchema: struct<o_orderdate:timestamp_ntz>" in plan
 
@@ -46,19 +44,6 @@ def test_hot_key_is_exact(spark):
     assert tuple(counts) == (30_000, 20_001, 9_999, 0)
 
 
-def test_large_scans_are_not_reshuffled(spark, tmp_path):
-    spark.range(100, numPartitions=80).write.parquet(str(tmp_path / "many"))
-    spark.conf.set("spark.sql.files.openCostInBytes", "200000000")
-    try:
-        many = spark.read.parquet(str(tmp_path / "many"))
-        assert many.rdd.getNumPartitions() > 64
-        assert "Exchange" not in plan_of(spread_small_scan(many))
-    finally:
-        spark.conf.unset("spark.sql.files.openCostInBytes")
-    few = spark.read.parquet(f"{SF}/orders.parquet")
-    assert "RoundRobin" in plan_of(spread_small_scan(few))
-
-
 def test_a_domain_needs_categories():
     with pytest.raises(ValueError, match="no categories"):
         Domain("empty", ())
