@@ -28,15 +28,17 @@ def stratified_sample(
     always among the first ``quota`` of its slice, so the result is exact. How the drawn keys meet
     the texts is Spark's choice.
     """
-    strata = status.sparkSession.createDataFrame(
-        [(d, c, q) for (d, c), q in quotas.items()], "domain string, category string, quota int"
-    )
+    wanted = F.create_map(
+        *[F.lit(x) for (d, c), q in quotas.items() for x in (f"{d}\x1f{c}", q)]
+    ).cast("map<string,int>")
+    stratum = F.concat_ws("\x1f", "domain", "category")
     largest = max(quotas.values(), default=0)
     readable = cases.filter(has_text(F.col("subject")))
     candidates = (
         status.filter(F.col("category").isNotNull())
         .select("domain", "case_id", "category", "method")
-        .join(strata, ["domain", "category"])
+        .withColumn("quota", F.try_element_at(wanted, stratum))  # configuration, so a literal
+        .filter(F.col("quota").isNotNull())
         .join(readable.select("case_id"), "case_id", "left_semi")
         .withColumn("_key", random_order(seed))
         .withColumn("_slice", F.pmod(F.hash("case_id"), F.lit(SLICES)))
