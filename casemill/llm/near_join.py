@@ -318,7 +318,10 @@ def verified_links(
         )
     )
     rows = dealt.select("unit", "component", "low", "high", "block", "rep").join(
-        docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string")),
+        # The same join at every size: the candidates grow with the texts.
+        docs.select(
+            F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string")
+        ).hint("merge"),
         "rep",
     )
 
