@@ -32,7 +32,9 @@ GRAM = 24
 PLACE_BITS = 28
 NUMBER_BITS = 24
 #: Anchors of a batch after which it is sent off, below two to the NUMBER_BITS by one slice.
-BATCH_ANCHORS = 1 << 22
+BATCH_ANCHORS = 1 << 20
+#: Documents whose contexts, or remaining texts, are made together.
+TOGETHER = 1_000
 #: Bytes of text whose anchors, or contexts, make up a shard on average.
 SHARD_BYTES = 8 << 20
 _NO_DATA = np.zeros(0, np.int64)
@@ -344,11 +346,17 @@ def _by_document(table: pa.Table) -> pa.Table:
     )
 
 
+def _smaller(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for first in range(0, batch.num_rows, TOGETHER):
+            yield batch.slice(first, TOGETHER)
+
+
 def _context_batches(shards: int):
     """Per batch and shard the contexts of repeated anchors, compressed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _smaller(batches):
             data, offsets = utf8(batch.column(1))
             ids = batch.column(0).to_numpy()
             repeated = batch.column(2).to_pylist()
@@ -467,7 +475,7 @@ REMOVED_SCHEMA = (
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _smaller(batches):
         rows = []
         for doc_id, text, whole, spans in zip(
             batch.column(0).to_pylist(),
