@@ -1,10 +1,10 @@
 """Best-fit packing of documents into sequences, improved by swap-based local search.
 
 Pieces are dealt at random into lots of bounded size and each lot is packed by one task: first
-best fit by falling length, then a local search over the sequences left underfull. It moves a
+best fit by falling length, then a local search over all sequences left underfull. It moves a
 document, exchanges one for one, or two for one, whenever that raises the sum of squared fills,
-so full sequences get fuller and poor ones empty out. What the emptiest sequences of many lots
-hold is pooled and packed once more.
+so full sequences get fuller and poor ones empty out, and ends when no such change is left. What
+the emptiest sequences of many lots hold is pooled and packed once more.
 """
 
 from __future__ import annotations
@@ -29,9 +29,6 @@ LOT_PIECES = 16_384
 #: Sequences of each lot whose pieces are pooled, and lots a pool draws from.
 POOLED_SEQUENCES = 4
 POOL_LOTS = 1_024
-#: Underfull sequences the local search looks at together, and its rounds over them.
-SEARCH_SEQUENCES = 48
-SEARCH_ROUNDS = 400
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, lot long"
 
@@ -102,76 +99,130 @@ def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
-def _gain(a: int, b: int, shift: int) -> int:
-    """Growth of the sum of squares when ``shift`` goes from fill a to fill b."""
-    return (a - shift) ** 2 + (b + shift) ** 2 - a * a - b * b
-
-
-def local_search(
-    bins: list[list[int]], lengths: np.ndarray, capacity: int, rounds: int = SEARCH_ROUNDS
-) -> list[list[int]]:
+class _Outs:
+    """What a bin can give away: the sums of one or two of its pieces, indexed by length."""
+
+    def __init__(self, members: list[int], size: list[int], capacity: int) -> None:
+        self.by_size: dict[int, list[int]] = {}
+        for i in members:
+            self.by_size.setdefault(size[i], []).append(i)
+        one = np.array(sorted(self.by_size), np.int64)
+        twice = [2 * z for z, same in self.by_size.items() if len(same) > 1]
+        two = (one[:, None] + one)[np.triu_indices(len(one), 1)]
+        sums = np.concatenate([one, two, np.array(twice, np.int64)])
+        #: The greatest sum up to each length, and the least sum from each length on.
+        self.below = np.zeros(capacity + 1, np.int64)
+        self.below[sums] = sums
+        np.maximum.accumulate(self.below, out=self.below)
+        self.above = np.full(capacity + 1, 4 * capacity, np.int64)
+        self.above[sums] = sums
+        self.above = np.minimum.accumulate(self.above[::-1])[::-1]
+
+    def pieces(self, total: int) -> list[int]:
+        if total in self.by_size:
+            return self.by_size[total][:1]
+        for z, same in self.by_size.items():
+            other = self.by_size.get(total - z)
+            if other and (z != total - z or len(same) > 1):
+                return [same[0], other[-1]]
+        raise ValueError(total)
+
+
+def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> list[list[int]]:
     """Empty underfull bins by moves, one-for-one and two-for-one exchanges between them.
 
-    A round takes the change of greatest gain that involves the poorest bin; if it has none, the
-    next poorest is tried. Every accepted change raises the sum of squared fills.
+    Bins are taken up from the poorest, each as long as it has a change that raises the sum of
+    squared fills, the greatest first; sweeps over all underfull bins follow each other until one
+    finds no change. All pieces of all underfull bins are looked at; a full bin has no such
+    change. A bin that is as it was is compared only with bins changed since its last turn.
     """
     size = lengths.tolist()
-    fill = [sum(size[i] for i in b) for b in bins]
-    under = sorted((k for k in range(len(bins)) if fill[k] < capacity), key=lambda k: fill[k])
-    under = under[:SEARCH_SEQUENCES]
-    for _ in range(rounds):
-        under = sorted((k for k in under if bins[k]), key=lambda k: fill[k])
-        change = None
+    bins = [list(b) for b in bins]
+    fill = np.array([sum(size[i] for i in b) for b in bins], np.int64)
+    log: list[int] = []
+    seen: dict[int, int] = {}
+    while True:
+        under = np.flatnonzero((fill < capacity) & (fill > 0))
+        under = under[np.argsort(fill[under], kind="stable")].tolist()
+        # A row per piece and one per bin for giving nothing back.
+        pieces = [i for k in under for i in bins[k]]
+        back = np.array([size[i] for i in pieces] + [0] * len(under), np.int64)
+        home = np.array([k for k in under for _ in bins[k]] + under, np.int64)
+        row = dict(zip(pieces, range(len(pieces)), strict=True))
+        pieces += [-1] * len(under)
+        begun = len(log)
         for poor in under:
-            change = _best_change(poor, under, bins, fill, size, capacity)
-            if change:
-                break
-        if not change:
-            break
-        poor, other, out, back = change
-        for i in out:
-            bins[poor].remove(i)
-            bins[other].append(i)
-        for i in back:
-            bins[other].remove(i)
-            bins[poor].append(i)
-        shift = sum(size[i] for i in out) - sum(size[i] for i in back)
-        fill[poor] -= shift
-        fill[other] += shift
-    return [b for b in bins if b]
-
-
-def _best_change(poor, under, bins, fill, size, capacity):
-    best, found = 0, None
-    mine = sorted(bins[poor], key=lambda i: -size[i])[:64]
-    for other in under:
-        if other == poor:
-            continue
-        room = capacity - fill[other]
-        if not room:
-            continue
-
-        def offer(shift, out, back, other=other):
-            nonlocal best, found
-            gain = _gain(fill[poor], fill[other], shift)
-            if gain > best:
-                best, found = gain, (poor, other, out, back)
-
-        for i in mine:
-            if size[i] <= room:
-                offer(size[i], [i], [])
-        theirs = sorted(bins[other], key=lambda j: size[j])[:64]
-        for i in mine:
-            for j in theirs:
-                if 0 < size[i] - size[j] <= room:
-                    offer(size[i] - size[j], [i], [j])
-        for p, i in enumerate(mine):
-            for k in mine[p + 1 :]:
-                pair = size[i] + size[k]
-                for j in theirs:
-                    if 0 < pair - size[j] <= room:
-                        offer(pair - size[j], [i, k], [j])
-    return found
+            while 0 < fill[poor] < capacity:
+                since = seen.get(poor, -1)
+                news = None if since < 0 else sorted(set(log[since:]) - {poor})
+                seen[poor] = len(log)
+                if news is not None and len(news) <= len(under) // 4:
+                    rows = [row[i] for k in news if fill[k] < capacity for i in bins[k]]
+                    if not rows:
+                        break
+                    # Moves into a changed bin are found with the row of no piece.
+                    empty = [k for k in news if 0 < fill[k] < capacity]
+                    change = _best_change(
+                        _Outs(bins[poor], size, capacity),
+                        np.concatenate([back[rows], np.zeros(len(empty), np.int64)]),
+                        np.concatenate([home[rows], np.array(empty, np.int64)]),
+                        poor, fill, capacity,
+                    )
+                    at = rows + [-1] * len(empty)
+                else:
+                    change = _best_change(
+                        _Outs(bins[poor], size, capacity), back, home, poor, fill, capacity
+                    )
+                    at = None
+                if not change:
+                    break
+                where, other, out = change
+                given = pieces[where] if at is None else (pieces[at[where]] if at[where] >= 0 else -1)
+                for i in out:
+                    bins[poor].remove(i)
+                    bins[other].append(i)
+                    home[row[i]] = other
+                if given >= 0:
+                    bins[other].remove(given)
+                    bins[poor].append(given)
+                    home[row[given]] = poor
+                shift = sum(size[i] for i in out) - (size[given] if given >= 0 else 0)
+                fill[poor] -= shift
+                fill[other] += shift
+                log += [poor, other]
+                # Both have changed, so all their pairs are to be looked at again.
+                seen.pop(poor, None)
+                seen.pop(other, None)
+        if len(log) == begun:
+            return [b for b in bins if b]
+
+
+def _best_change(outs: _Outs, back, home, poor: int, fill, capacity: int):
+    """The row, bin and pieces of the greatest gain between bin ``poor`` and the rows' bins.
+
+    For one piece given back, the greatest fitting sum is the best one that fills the other bin,
+    and the least fitting sum the best one that fills ``poor``.
+    """
+    a = int(fill[poor])
+    b = fill[home]
+    ahead = b - a
+    away = outs.below[np.minimum(back + (capacity - b), capacity)]
+    shift = away - back
+    gain = shift * (ahead + shift)
+    gain[(shift <= 0) | (home == poor)] = 0
+    best = int(np.argmax(gain)) if len(gain) else 0
+    top = int(gain[best]) if len(gain) else 0
+    total = int(away[best]) if top > 0 else 0
+    near = outs.above[np.maximum(back - (capacity - a), 0)]
+    shift = back - near
+    gain = shift * (shift - ahead)
+    gain[(shift <= 0) | (home == poor)] = 0
+    if len(gain) and int(gain.max()) > top:
+        best = int(np.argmax(gain))
+        top, total = int(gain[best]), int(near[best])
+    if top <= 0:
+        return None
+    return best, int(home[best]), outs.pieces(total)
 
 
 def pack_lot(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

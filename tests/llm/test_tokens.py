@@ -135,3 +135,33 @@ def test_best_fit_takes_the_tightest_room():
     lengths = np.array([6, 5, 4, 5, 4, 6])
     assert len(best_fit(lengths, 10)) == 3
     assert best_fit(np.array([], int), 10) == []
+
+
+def test_local_search_leaves_no_change_in_any_bin():
+    rng = np.random.default_rng(1)
+    for lengths, capacity in (
+        (rng.integers(1200, 1701, 400), 4096),
+        (np.concatenate([rng.integers(2, 5, 900), rng.integers(250, 420, 150)]), 1000),
+    ):
+        first = [b.tolist() for b in np.array_split(np.arange(len(lengths)), len(lengths) // 2)]
+        if capacity == 4096:
+            first = best_fit(lengths, capacity)
+        out = local_search(first, lengths, capacity)
+        assert sorted(i for b in out for i in b) == list(range(len(lengths)))
+        fill = [int(lengths[b].sum()) for b in out]
+        assert max(fill) <= capacity and len(out) < len(first)
+        sizes = [sorted(set(lengths[b].tolist())) for b in out]
+        gives = []
+        for b in out:
+            own = lengths[b].tolist()
+            pairs = {x + y for k, x in enumerate(own) for y in own[k + 1 :]} if len(own) < 99 else set()
+            gives.append(sorted(set(own) | pairs))
+        for p, a in enumerate(fill):
+            for o, b in enumerate(fill):
+                if p == o:
+                    continue
+                for out_sum in gives[p]:
+                    for back in [0, *sizes[o]]:
+                        shift = out_sum - back
+                        if 0 < shift <= capacity - b:
+                            assert b - a + shift <= 0, (p, o, out_sum, back)
