@@ -6,8 +6,9 @@ and the length of its expansion is kept with it. Documents end with ``END_ID`` a
 with it, so every document starts at a symbol of its own and any range of its ids can be had by
 skipping whole symbols by their expansion lengths.
 
-Pairs of a round are counted over the whole shard and replaced together: where two of them
-overlap, the more frequent one wins, and the other may win in the next round.
+All pairs of a round are counted over the whole shard and the most frequent ones are replaced
+together: where two of them overlap, the more frequent one wins, and the other may win in the next
+round. Rounds end when no pair occurs ``LEAST_COUNT`` times without overlapping itself.
 """
 
 from __future__ import annotations
@@ -28,12 +29,12 @@ from casemill.session import staged
 
 MAGIC = b"RPGS"
 SHARD_IDS = 1 << 21
-ROUNDS = 4
-#: Pairs are looked for among so many of the most frequent symbols of a round.
-FREQUENT = 1023
+#: The most frequent pairs are replaced first; what is left is counted again in the next round.
 RULES_A_ROUND = 4096
 #: A pair must occur so often in the shard to be worth a rule.
 LEAST_COUNT = 24
+#: Rank of a place without a frequent pair.
+NONE = np.int32(2**31 - 1)
 
 SHARD_SCHEMA = (
     "part int, shard int, first_id long, last_id long, n_docs long, part_start long, "
@@ -50,65 +51,94 @@ def compress(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[
     code = np.zeros(len(present), np.int32)
     code[alphabet] = np.arange(len(alphabet), dtype=np.int32)
     seq = code[ids]
-    end = int(code[END_ID]) if END_ID < len(present) and present[END_ID] else -1
+    #: Symbols whose expansion ends a document: no pair begins with them.
+    closing = alphabet == END_ID
     rules: list[np.ndarray] = []
     made: list[int] = []
     size = len(alphabet)
-    for _ in range(ROUNDS):
-        found = _best_pairs(seq, size, end)
+    live = np.ones(max(len(seq) - 1, 0), bool)
+    while len(seq) > 1:
+        found = _frequent_pairs(seq, size, live & ~closing[seq[:-1]])
         if found is None:
             break
-        pairs, rank = found
-        seq = _replace(seq, rank, size)
-        rules.append(pairs)
-        made.append(len(pairs))
-        size += len(pairs)
+        pairs, rank, odd = found
+        seq, live, kept = _replace(seq, rank, odd, size)
+        rules.append(pairs[kept])
+        made.append(len(kept))
+        closing = np.concatenate([closing, closing[rules[-1][:, 1]]])
+        size += len(kept)
     table = np.concatenate(rules) if rules else np.zeros((0, 2), np.int32)
     return alphabet, table, seq, made
 
 
-def _best_pairs(seq: np.ndarray, size: int, end: int):
-    """The most frequent pairs, and the rank of the pair at each place (32767: none of them)."""
-    if len(seq) < 2:
+def _frequent_pairs(seq: np.ndarray, size: int, live: np.ndarray):
+    """The pairs that occur often enough, most frequent first, and the rank of each place's pair.
+
+    Only places in ``live`` are counted. In a run of one symbol every other place is left out, so
+    that counts are of pairs that don't overlap; those places are returned as well.
+    """
+    odd = np.flatnonzero(seq[1:] == seq[:-1])
+    if len(odd):
+        first = np.concatenate([[True], odd[1:] != odd[:-1] + 1])
+        offset = odd - odd[first][np.cumsum(first) - 1]
+        odd = odd[offset % 2 == 1]
+        live[odd] = False
+    at = np.flatnonzero(live)
+    if len(at) < LEAST_COUNT:
         return None
-    counts = np.bincount(seq, minlength=size)
-    frequent = np.argsort(-counts, kind="stable")[:FREQUENT]
-    frequent = frequent[counts[frequent] >= LEAST_COUNT]
-    width = len(frequent) + 1
-    index = np.full(size, width - 1, np.int32)
-    index[frequent] = np.arange(width - 1, dtype=np.int32)
-    where = index[seq]
-    number = where[:-1] * np.int32(width) + where[1:]
-    seen = np.bincount(number, minlength=width * width).reshape(width, width)
-    seen[-1, :] = 0
-    seen[:, -1] = 0
-    if end >= 0:
-        seen[index[end], :] = 0
-    flat = seen.ravel()
-    enough = np.flatnonzero(flat >= LEAST_COUNT)
+    key = seq[at].astype(np.int64) * size + seq[at + 1]
+    bits = len(seq).bit_length()
+    if (size * size).bit_length() + bits <= 63:
+        key = np.sort((key << bits) | at)
+        at = key & ((1 << bits) - 1)
+        key >>= bits
+    else:
+        order = np.argsort(key, kind="stable")
+        at, key = at[order], key[order]
+    starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    counts = np.diff(np.append(starts, len(key)))
+    enough = np.flatnonzero(counts >= LEAST_COUNT)
     if len(enough) == 0:
         return None
-    if len(enough) > RULES_A_ROUND:
-        cut = np.partition(flat[enough], -RULES_A_ROUND)[-RULES_A_ROUND]
-        enough = enough[flat[enough] >= cut]
-    best = enough[np.argsort(-flat[enough], kind="stable")][:RULES_A_ROUND]
-    table = np.full(width * width, 32767, np.int16)
-    table[best] = np.arange(len(best), dtype=np.int16)
-    pairs = np.stack([frequent[best // width], frequent[best % width]], 1).astype(np.int32)
-    return pairs, table[number]
-
-
-def _replace(seq: np.ndarray, rank: np.ndarray, size: int) -> np.ndarray:
-    """Replace each pair that ranks before the pairs it overlaps by its new symbol."""
-    take = rank < 32767
+    best = np.argsort(-counts[enough], kind="stable")
+    rank_of = np.full(len(counts), NONE, np.int32)
+    rank_of[enough[best]] = np.arange(len(best), dtype=np.int32)
+    rank = np.full(len(seq) - 1, NONE, np.int32)
+    rank[at] = np.repeat(rank_of, counts)
+    chosen = key[starts[enough[best]]]
+    return np.stack([chosen // size, chosen % size], 1).astype(np.int32), rank, odd
+
+
+def _replace(seq: np.ndarray, rank: np.ndarray, odd: np.ndarray, size: int):
+    """Replace each pair that ranks before the pairs it overlaps by its new symbol.
+
+    Pairs left with fewer places than ``LEAST_COUNT`` wait for the next round; the first pair never
+    is one of them. Returns the new sequence, its places where a pair may still be frequent (those
+    of frequent pairs and those with a new symbol: all others can only lose places), and the ranks
+    of the pairs replaced.
+    """
+    take = rank < RULES_A_ROUND
     take[1:] &= rank[1:] < rank[:-1]
-    take[:-1] &= rank[:-1] <= rank[1:]
+    take[:-1] &= rank[:-1] < rank[1:]
     at = np.flatnonzero(take)
+    used = np.bincount(rank[at])
+    kept = np.flatnonzero(used >= LEAST_COUNT)
+    number = np.full(len(used), -1, np.int32)
+    number[kept] = np.arange(len(kept), dtype=np.int32)
+    new = number[rank[at]]
+    at, new = at[new >= 0], new[new >= 0]
+    live = rank != NONE
+    live[odd] = live[odd - 1]
+    live = np.append(live, False)
     out = seq.copy()
-    out[at] = size + rank[at].astype(np.int32)
+    out[at] = size + new
     keep = np.ones(len(seq), bool)
     keep[at + 1] = False
-    return out[keep]
+    out = out[keep]
+    live = live[keep][:-1]
+    live |= out[:-1] >= size
+    live |= out[1:] >= size
+    return out, live, kept
 
 
 def expansion_lengths(n_alphabet: int, rules: np.ndarray, made: list[int]) -> np.ndarray:
@@ -122,19 +152,18 @@ def expansion_lengths(n_alphabet: int, rules: np.ndarray, made: list[int]) -> np
     return lengths
 
 
-def expand(seq: np.ndarray, alphabet: np.ndarray, rules: np.ndarray, made: list[int]) -> np.ndarray:
-    """The ids a sequence of symbols stands for: the rounds undone, last round first."""
-    top = len(alphabet) + len(rules)
-    for n in reversed(made):
-        top -= n
-        new = seq >= top
+def expand(seq: np.ndarray, alphabet: np.ndarray, rules: np.ndarray) -> np.ndarray:
+    """The ids a sequence of symbols stands for: rules applied until none applies."""
+    while True:
+        new = seq >= len(alphabet)
         at = np.flatnonzero(new)
+        if len(at) == 0:
+            return alphabet[seq]
         out = np.repeat(seq, 1 + new)
         place = at + np.arange(len(at))
         pair = rules[seq[at] - len(alphabet)]
         out[place], out[place + 1] = pair[:, 0], pair[:, 1]
         seq = out
-    return alphabet[seq]
 
 
 def pack_shard(doc_ids: list[int | None], texts: list[bytes]) -> bytes:
@@ -195,7 +224,7 @@ class TokenShard:
         self.seq = take("<u4" if wide else "<u2", n_symbols).astype(np.int32)
 
     def all_ids(self) -> np.ndarray:
-        return expand(self.seq, self.alphabet, self.rules, self.made)
+        return expand(self.seq, self.alphabet, self.rules)
 
     def document(self, i: int, start: int = 0, stop: int | None = None) -> np.ndarray:
         """Ids start to stop of document ``i``; symbols outside of the range aren't expanded."""
@@ -206,7 +235,7 @@ class TokenShard:
         ends = np.cumsum(self.lengths[seq])
         first, last = np.searchsorted(ends, [start, stop - 1], "right")
         skipped = int(ends[first - 1]) if first else 0
-        ids = expand(seq[first : last + 1], self.alphabet, self.rules, self.made)
+        ids = expand(seq[first : last + 1], self.alphabet, self.rules)
         return ids[start - skipped : stop - skipped]
 
 

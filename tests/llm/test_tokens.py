@@ -52,6 +52,34 @@ def test_shard_round_trip_and_random_access():
     assert lengths.sum() == len(shard.all_ids())
 
 
+def test_shard_leaves_no_frequent_pair():
+    from collections import Counter
+
+    rng = np.random.default_rng(8)
+    passage = np.arange(5000, 5300)
+    texts = []
+    for k in range(60):
+        body = [rng.integers(10, 1500, 2000), passage, np.full(90, 4), [7, 8]]
+        texts.append(np.concatenate([[3], *body, [END_ID]]).astype("<u4").tobytes())
+    shard = TokenShard(pack_shard(list(range(60)), texts))
+    for i, text in enumerate(texts):
+        ids = np.frombuffer(text, "<u4")
+        assert (shard.document(i) == ids).all()
+        assert (shard.document(i, 1990, 2100) == ids[1990:2100]).all()
+    # Pairs that don't overlap, from left to right, within documents.
+    seen, free = Counter(), {}
+    for i in range(60):
+        seq = shard.seq[shard.symbols[i] : shard.symbols[i + 1]].tolist()
+        free.clear()
+        for at, pair in enumerate(zip(seq, seq[1:], strict=False)):
+            if free.get(pair, 0) <= at:
+                seen[pair] += 1
+                free[pair] = at + 2
+    assert max(seen.values()) < 24
+    # The passage is a few symbols of many ids, not one per id or per sixteen.
+    assert shard.lengths.max() >= 200
+
+
 def test_token_files(spark, library):
     rows = awkward_rows()
     out = token_files(with_clashing_columns(frame(spark, rows))).collect()
