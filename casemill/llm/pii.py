@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -30,7 +31,10 @@ _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 _IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?:\x20?[A-Z0-9]{4}){2})")
+_IBAN_GROUP = re.compile(r"\x20?[A-Z0-9]{4}")
+_IBAN_TAIL = re.compile(r"\x20?[A-Z0-9]{1,3}(?![A-Za-z0-9])")
+_IBAN_END = re.compile(r"(?![A-Za-z0-9])")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _SECRET = re.compile(r"[=:][\x20]?[\"']?([A-Za-z0-9+/_-]{20,})")
 _LOCAL_CLASS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -49,6 +53,19 @@ CONTEXT_WORDS = {
     "secret": ("token", "secret", "key", "password", "passwd", "api"),
 }
 CONTEXT_GAIN = 0.2
+#: Registered lengths of account numbers by country.
+IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI",
+        20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+        24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+        27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
 _CONTEXT = {
     kind: re.compile(r"(?<![a-z])(?:%s)" % "|".join(words)) for kind, words in CONTEXT_WORDS.items()
 }
@@ -112,13 +129,60 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return spans
 
 
+def _iban_ends(text: str, start: int) -> list[int]:
+    """Where an account number from ``start`` may end: after its groups, not within a word."""
+    at, ends = start + 4, []
+    for group in range(1, 8):
+        m = _IBAN_GROUP.match(text, at)
+        if not m:
+            break
+        at = m.end()
+        if group > 1:
+            tail = _IBAN_TAIL.match(text, at)
+            ends += [at] if _IBAN_END.match(text, at) else []
+            ends += [tail.end()] if tail else []
+    return ends
+
+
+def _ibans(text: str) -> list[tuple[int, int]]:
+    """Account numbers that mod 97 confirms, from left to right.
+
+    Those of their country's length come first. At other starts, all ends are tried if the country
+    has no registered length, the last one first, and otherwise the last one only.
+    """
+    exact, others = [], []
+    done = 0
+    for m in _IBAN.finditer(text):
+        start = m.start()
+        if start < done:
+            continue
+        length = IBAN_LENGTHS.get(text[start : start + 2])
+        ends = _iban_ends(text, start)
+        for end in ends:
+            account = text[start:end].replace(" ", "")
+            if len(account) == length and mod_97(account):
+                exact.append((start, end))
+                done = end
+                break
+        else:
+            others.append((start, ends[-1:] if length else ends[::-1]))
+    spans = list(exact)
+    begins = [*(s for s, _ in exact), len(text)]
+    done = 0
+    for start, ends in others:
+        until = begins[bisect(begins, start)]
+        for end in ends:
+            account = text[start:end].replace(" ", "")
+            if done <= start and end <= until and 15 <= len(account) <= 34 and mod_97(account):
+                spans.append((start, end))
+                done = end
+                break
+    return sorted(spans)
+
+
 def added_spans(text: str) -> list[tuple[str, int, int]]:
     """Confirmed spans of the additional kinds."""
-    spans = []
-    for m in _IBAN.finditer(text):
-        account = m.group().replace(" ", "")
-        if 15 <= len(account) <= 34 and mod_97(account):
-            spans.append(("iban", m.start(), m.end()))
+    spans = [("iban", s, e) for s, e in _ibans(text)]
     if "-" in text:
         spans += [("ssn", m.start(), m.end()) for m in _SSN.finditer(text)]
     if "=" in text or ":" in text:

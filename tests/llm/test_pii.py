@@ -90,3 +90,23 @@ def test_redaction_keeps_rows_and_columns(spark):
     docs = frame(spark)
     out = redacted(docs)
     assert out.columns == docs.columns and out.count() == docs.count()
+
+
+def test_account_numbers_before_and_after_other_capitals():
+    accounts = [
+        "ES9121000418450200051332", "ES91 2100 0418 4502 0005 1332", "AT611904300234573201",
+        "PL61109010140000071219812874", "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32",
+        "NO9386011117947", "MT84MALT011000012345MTLCAST001S",
+    ]
+    for account in accounts:
+        for before in ("IBAN ", "konto: ", "account AB12 CDEF GHIJ ", "iban XX99 "):
+            for after in ("", " BIC CAIXESBB", " BIC X", " A", " IBAN", ".", " and", " AB12 CDEF"):
+                text = before + account + after
+                spans = [s[1:3] for s in find_spans(text) if s[0] == "iban"]
+                assert spans == [(len(before), len(before) + len(account))], text
+                assert redact(text) == before + "[IBAN]" + after
+    both = "IBAN " + " ".join(accounts)
+    found = [both[s[1] : s[2]] for s in find_spans(both) if s[0] == "iban"]
+    assert found == accounts
+    # Part of a longer word is no end of an account.
+    assert not [s for s in find_spans("IBAN AT611904300234573201x") if s[0] == "iban"]
