@@ -360,6 +360,7 @@ def _context_batches(shards: int):
             data, offsets = utf8(batch.column(1))
             ids = batch.column(0).to_numpy()
             repeated = batch.column(2).to_pylist()
+            versions = batch.column(3).to_numpy()
             found: list[tuple] = []
             for first, last in byte_slices(offsets):
                 at = offsets[first : last + 1] - offsets[first]
@@ -391,7 +392,9 @@ def _context_batches(shards: int):
                 begin = offsets[owner[own]] + start[own]
                 size = windows[own] + WINDOW - 1
                 pieces = [raw[b : b + s] for b, s in zip(begin.tolist(), size.tolist(), strict=True)]
-                head = np.concatenate([ids[owner[own]], start[own], windows[own]]).tobytes()
+                head = np.concatenate(
+                    [ids[owner[own]], versions[owner[own]], start[own], windows[own]]
+                ).tobytes()
                 body = head + b"".join(pieces)
                 rows.append((k, len(own), len(body), pa.compress(body, "zstd", asbytes=True)))
             if rows:
@@ -423,12 +426,12 @@ def _shard_spans(kept: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     heads, pieces = [], []
     for n, size, payload in kept:
         body = pa.decompress(payload, size, "zstd", asbytes=True)
-        head = np.frombuffer(body, np.int64, 3 * n).reshape(3, n)
+        head = np.frombuffer(body, np.int64, 4 * n).reshape(4, n)
         heads.append(head)
-        ends = np.cumsum(head[2] + WINDOW - 1) + 24 * n
-        begins = ends - (head[2] + WINDOW - 1)
+        ends = np.cumsum(head[3] + WINDOW - 1) + 32 * n
+        begins = ends - (head[3] + WINDOW - 1)
         pieces += [body[b:e] for b, e in zip(begins.tolist(), ends.tolist(), strict=True)]
-    docs, start, windows = np.concatenate(heads, axis=1)
+    docs, versions, start, windows = np.concatenate(heads, axis=1)
     # Equal contexts are sorted once; only the smallest document of each matters to the others.
     numbers: dict[bytes, int] = {}
     which = np.fromiter(
@@ -462,10 +465,11 @@ def _shard_spans(kept: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
             pa.array(docs[at[firsts]]),
+            pa.array(versions[at[firsts]]),
             pa.array(begin),
             pa.array(begin + length + WINDOW - 1),
         ],
-        ["doc_id", "first", "last"],
+        ["doc_id", "version", "first", "last"],
     )
 
 
@@ -519,7 +523,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     Returns a row per input row: doc_id, n_bytes, n_removed, n_spans (maximal removed runs),
     kept_sha256 and kept_text (the remaining bytes). Strings are judged on the input. A null text
     is empty; rows without doc_id lose nothing and cover nothing; rows that repeat a doc_id don't
-    cover one another. A copy of a whole text goes whole if it has 50 bytes. Texts cross the
+    cover one another, and each loses what its own text repeats. A copy of a whole text goes whole if it has 50 bytes. Texts cross the
     network once, for both the contexts and the removal. A text may have up to about 200 MB.
     """
     ship(docs.sparkSession)
@@ -538,10 +542,24 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     )
     same_text = ["mark", "mark2", "n_bytes"]
     firsts = prints.groupBy(*same_text).agg(F.min("doc_id").alias("first_id"))
+    # Rows may repeat a doc_id with other texts: all but one of its marks are versions.
+    several = (
+        prints.groupBy("doc_id")
+        .agg(F.min("mark").alias("least"), F.max("mark").alias("greatest"))
+        .filter("least < greatest")
+        .select("doc_id", "least")
+    )
     origin = staged(
         prints.join(firsts, same_text)
         .groupBy("doc_id", "mark")
-        .agg(F.max(F.col("doc_id") > F.col("first_id")).alias("whole")),
+        .agg(F.max(F.col("doc_id") > F.col("first_id")).alias("whole"))
+        .join(several, "doc_id", "left")
+        .select(
+            "doc_id",
+            "mark",
+            "whole",
+            F.when(F.col("mark") > F.col("least"), F.col("mark")).otherwise(0).alias("version"),
+        ),
         "origins",
     )
     total = prints.agg(F.sum("n_bytes")).first()[0] or 0
@@ -558,14 +576,14 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     repeated = (
         answered.groupBy("batch")
         .applyInArrow(_by_document, "doc_id long, mark long, repeated binary")
-        .join(origin.filter(~F.col("whole")).select("doc_id", "mark"), ["doc_id", "mark"])
+        .join(origin.filter(~F.col("whole")).select("doc_id", "mark", "version"), ["doc_id", "mark"])
         .dropDuplicates(["doc_id", "mark"])
     )
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = known.select("doc_id", "mark", "text").repartition(n, "doc_id", "mark")
     contexts = (
         texts.join(repeated.hint("shuffle_hash"), ["doc_id", "mark"])
-        .select("doc_id", "text", "repeated")
+        .select("doc_id", "text", "repeated", "version")
         .mapInArrow(
             _context_batches(shards), "shard long, contexts long, size long, payload binary"
         )
@@ -573,12 +591,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     spans = (
         contexts.repartition("shard")
         .sortWithinPartitions("shard")
-        .mapInArrow(_repeated_spans, "doc_id long, first long, last long")
-        .groupBy("doc_id")
+        .mapInArrow(_repeated_spans, "doc_id long, version long, first long, last long")
+        .groupBy("doc_id", "version")
         .agg(F.collect_list(F.struct("first", "last")).alias("spans"))
     )
     marked = (
-        origin.join(spans, "doc_id", "left")
+        origin.join(spans, ["doc_id", "version"], "left")
         .filter("whole OR spans IS NOT NULL")
         .select("doc_id", "mark", "whole", "spans")
     )

@@ -92,6 +92,19 @@ def test_several_shards_and_batches(spark, monkeypatch):
     assert result(spark, rows) == brute(rows)
 
 
+def test_rows_that_repeat_a_doc_id_with_other_texts(spark):
+    passages = [words(700 + i, 20) for i in range(3)]
+    rows = [row(1, " ".join(passages))]
+    for doc_id in (5, 6):
+        rows += [
+            row(doc_id, passages[0] + " " + words(710 + doc_id, 60)),
+            row(doc_id, words(720 + doc_id, 50) + " " + passages[1] + words(730 + doc_id, 9)),
+            row(doc_id, words(740 + doc_id, 90)),
+        ]
+    rows += [rows[-1], row(7, words(750, 30) + passages[2])]
+    assert result(spark, rows) == brute(rows)
+
+
 def test_empty(spark):
     assert remove_repeats(frame(spark, [])).count() == 0
     rows = [row(1, None), row(2, "")]
