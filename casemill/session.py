@@ -64,12 +64,26 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet into the shared folder and read it from there.
+def staging_path(spark: SparkSession, name: str) -> str:
+    """A new place for intermediate data in the shared folder."""
+    return f"{shared_folder(spark)}/casemill/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` once as Parquet to ``path`` and read it from there.
 
     Unlike ``durable`` the copy is compressed and columnar, and later readers prune its columns.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/casemill/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet to a new place of the shared folder and read it from there."""
+    return written(df, staging_path(df.sparkSession, name))
+
+
+def remove_staged(spark: SparkSession, path: str) -> None:
+    """Remove what ``written`` has put at ``path``; nothing may read it any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
