@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from casemill.llm.byte_bpe import token_digests
 from casemill.llm.embedding_dedup import embedding_duplicates
 from casemill.llm.fingerprint import fingerprints
 from casemill.llm.language import languages
@@ -13,9 +14,11 @@ from casemill.llm.mixing import mix_sources
 from casemill.llm.near_join import near_duplicates
 from casemill.llm.packing import pack_sequences
 from casemill.llm.pii import personal_data, span_digests
+from casemill.llm.prefix_trie import conversation_trie
 from casemill.llm.quality import quality_scores
 from casemill.llm.suffix_dedup import remove_repeats
 from casemill.llm.token_store import token_files
+from casemill.llm.vector_codes import compress_vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +67,18 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(_table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(_table(spark, sf_dir, "conversations")).drop("turn_id")
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(_table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_personal_data": op2_personal_data,
@@ -75,6 +90,9 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_languages": op8_languages,
     "op9_remove_repeats": op9_remove_repeats,
     "op10_token_files": op10_token_files,
+    "op11_conversation_trie": op11_conversation_trie,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 
 LLM_ORACLES: dict[str, str] = {}
