@@ -1,4 +1,4 @@
-"""Scoring engines (C6): term rules, a Spark ML text model, and any user callable.
+"""Scoring engines (C6): term rules, a naive Bayes text model, and any user callable.
 
 Every engine offers ``score(texts, domains, keep=())``. ``texts`` has one row per case,
 ``(case_id, subject, domains array<string>)``, so a text is shuffled and prepared once however
@@ -8,6 +8,7 @@ many domains ask about it. The result has one row per case and asked domain:
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
@@ -16,10 +17,6 @@ from operator import add
 from typing import Any
 
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import NaiveBayes
-from pyspark.ml.feature import HashingTF, RegexTokenizer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +25,7 @@ from casemill.fixed_values import METHOD_MODEL, NOT_APPLICABLE
 from casemill.operators.answers import normalise_choice
 from casemill.operators.taxonomy import Domain, by_domain
 from casemill.schema import SCORE_FIELDS
+from casemill.session import staged
 
 Terms = dict[str, dict[str, Sequence[str]]]
 
@@ -144,69 +142,111 @@ def _greatest(names: Sequence[str]) -> Column:
     return F.greatest(*names) if len(names) > 1 else F.col(names[0])
 
 
+#: Decimals of a joint score: the order in which its terms were added can't decide an answer.
+SCORE_DECIMALS = 6
+
+
+def _words(text: Column) -> Column:
+    """The lower-cased runs of letters and digits of a text."""
+    return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+
+
 @dataclass(frozen=True)
 class TextModel:
     """A multinomial naive Bayes text model over the joint label (domain, category).
 
-    One pass over the labelled rows trains all domains together; within a domain the joint
-    scores are renormalised, which gives that domain's own model. Runs in the JVM.
+    The vocabulary is exact: one row a word with its count under every joint label, made by one
+    aggregation over the words of all labelled texts, and kept as a table. Priors and the labels'
+    totals are two numbers a label. With add-one smoothing the score of label i is
+    ``prior_i + sum over known words of ln(count_i + 1) - n_known * ln(total_i + n_words)``;
+    words that no labelled text has are left out. Within a domain the joint scores are
+    renormalised, which gives that domain's own model. All of it runs in the JVM.
     """
 
-    pipeline: PipelineModel
+    vocabulary: DataFrame
     labels: tuple[tuple[str, str], ...]
+    priors: tuple[float, ...]
+    totals: tuple[int, ...]
+    n_words: int
     method: str = METHOD_MODEL
 
     normalise = staticmethod(normalise_choice)
 
     @classmethod
     def fit(
-        cls,
-        labelled: DataFrame,
-        cases: DataFrame,
-        features: int = 1 << 16,
-        method: str = METHOD_MODEL,
+        cls, labelled: DataFrame, cases: DataFrame, method: str = METHOD_MODEL
     ) -> TextModel:
         """Train on processed status rows: a NULL category counts as ``NO_APLICA``.
 
-        Only the label counts and one weight per label and feature reach the driver.
+        A few numbers per label reach the driver; the vocabulary stays a table.
         """
         label = F.coalesce("category", F.lit(NOT_APPLICABLE))
         rows = labelled.select("case_id", "domain", label.alias("label"))
         found = rows.groupBy("domain", "label").count().orderBy("domain", "label").collect()
         labels = tuple((r.domain, r.label) for r in found)
+        asked = {d: sum(r["count"] for r in found if r.domain == d) for d, _ in labels}
+        priors = tuple(math.log(r["count"] / asked[r.domain]) for r in found)
         index: dict[str, Column] = {}
-        for d in {d for d, _ in labels}:
+        for d in asked:
             index[d] = by_domain(
                 F.col("label"),
-                {c: F.lit(float(i)) for i, (owner, c) in enumerate(labels) if owner == d},
+                {c: F.lit(i) for i, (owner, c) in enumerate(labels) if owner == d},
             )
-        stages = Pipeline(
-            stages=[
-                RegexTokenizer(
-                    inputCol="subject", outputCol="words", pattern=r"[^\p{L}\p{N}]+"
-                ),
-                HashingTF(inputCol="words", outputCol="features", numFeatures=features),
-            ]
+        joint = by_domain(F.col("domain"), index) if labels else F.lit(0)
+        own = rows.groupBy("case_id").agg(F.collect_list(joint).alias("own"))
+        words = (
+            cases.filter(F.col("subject").isNotNull())
+            .select("case_id", "subject")
+            .join(own, "case_id")
+            .select("own", F.explode(_words(F.col("subject"))).alias("word"))
         )
-        plain = cases.filter(F.col("subject").isNotNull()).select("case_id", "subject")
-        extract = stages.fit(plain)
-        train = (
-            extract.transform(plain)
-            .select("case_id", "features")
-            .join(rows, "case_id")
-            .select("features", by_domain(F.col("domain"), index).alias("label"))
+        counts = [
+            F.count_if(F.array_contains("own", i)).alias(f"n_{i}") for i in range(len(labels))
+        ]
+        vocabulary = staged(
+            words.groupBy("word").agg(*counts) if counts
+            else cases.sparkSession.createDataFrame([], "word string"),
+            "vocabulary",
+        )
+        sums = vocabulary.agg(
+            F.count("*").alias("n_words"),
+            *[F.coalesce(F.sum(f"n_{i}"), F.lit(0)).alias(f"n_{i}") for i in range(len(labels))],
+        ).head()
+        totals = tuple(int(sums[f"n_{i}"]) for i in range(len(labels)))
+        return cls(vocabulary, labels, priors, totals, int(sums.n_words), method)
+
+    def _joint_scores(self, texts: DataFrame) -> DataFrame:
+        """case_id and the joint score of every label, as an array."""
+        n = range(len(self.labels))
+        logs = [F.sum(F.log1p(f"n_{i}")).alias(f"s_{i}") for i in n]
+        words = texts.select(
+            "case_id", F.explode(_words(F.coalesce("subject", F.lit("")))).alias("word")
+        )
+        known = (
+            words.join(self.vocabulary, "word")
+            .groupBy("case_id")
+            .agg(F.count("*").alias("n_known"), *logs)
+        )
+        scores = [
+            F.round(
+                F.lit(self.priors[i])
+                + F.coalesce(f"s_{i}", F.lit(0.0))
+                - F.coalesce("n_known", F.lit(0))
+                * F.lit(math.log(self.totals[i] + self.n_words) if self.n_words else 0.0),
+                SCORE_DECIMALS,
+            )
+            for i in n
+        ]
+        joint = F.array(*scores) if scores else F.array().cast("array<double>")
+        return texts.select("case_id").join(known, "case_id", "left").select(
+            "case_id", joint.alias("_joint")
         )
-        bayes = NaiveBayes(modelType="multinomial").fit(train)
-        return cls(PipelineModel([*extract.stages, bayes]), labels, method)
 
     def score(
         self, texts: DataFrame, domains: Sequence[Domain], keep: Sequence[str] = ()
     ) -> DataFrame:
-        given = texts.select(
-            "case_id", *keep, "domains", F.coalesce("subject", F.lit("")).alias("subject")
-        )
-        joint = self.pipeline.transform(given).select(
-            "case_id", *keep, "domains", vector_to_array("rawPrediction").alias("_joint")
+        joint = texts.select("case_id", *keep, "domains").join(
+            self._joint_scores(texts), "case_id"
         )
         known = {d.name: self._own(d) for d in domains}
         own_scores = {

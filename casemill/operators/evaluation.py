@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from casemill.fixed_values import ERROR_LABEL, NOT_APPLICABLE
@@ -169,6 +171,36 @@ def predicted_distribution(evaluated: DataFrame) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class EvaluationRun:
+    """What a run evaluated and how long it took until its results were written."""
+
+    total: int
+    matches: int
+    failures: int
+    wall_seconds: float
+
+    @property
+    def rows_per_second(self) -> float:
+        return round(self.total / self.wall_seconds, 2) if self.wall_seconds else 0.0
+
+
+def write_results(rows: DataFrame, path: str) -> EvaluationRun:
+    """Write result rows as JSON lines; the counts are taken on the way, so the engine runs once."""
+    watch = Observation()
+    watched = rows.observe(
+        watch,
+        F.count(F.lit(1)).alias("total"),
+        F.count_if("match").alias("matches"),
+        F.count_if(F.col("predicted").startswith(ERROR_LABEL)).alias("failures"),
+    )
+    started = time.monotonic()
+    watched.write.mode("error").json(path, ignoreNullFields=False)
+    seconds = time.monotonic() - started
+    counts = watch.get
+    return EvaluationRun(counts["total"], counts["matches"], counts["failures"], seconds)
+
+
 def throughput(evaluated: DataFrame, wall_seconds: float) -> DataFrame:
     """Rows per second and mean milliseconds of a run that took ``wall_seconds``."""
     seconds = F.lit(float(wall_seconds))

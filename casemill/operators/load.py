@@ -1,9 +1,9 @@
 """Intake: rejects (S4), insert-if-absent (S5) and exact accounting.
 
-Which rows are new is decided on keys and order alone. Copies of a hot key are cut to one row per
-map task before the shuffle (the partial window group limit), and the anti-join against the stored
-keys reuses the same partitioning and sort order. Only then the new rows' other columns are
-fetched, so a cumulative export whose rows are nearly all known moves nearly no texts.
+Rows that are all key and numbers are decided in one exchange (``new_rows``). Rows with texts are
+decided on keys and places alone (``new_keys``) against the bucketed key table, whose rows stay
+where they are; only the new rows are then fetched (``rows_at``), so a cumulative export whose rows
+are nearly all known moves nearly no texts.
 """
 
 from __future__ import annotations
@@ -48,20 +48,34 @@ def first_per_key(rows: DataFrame, order: Sequence[Column], key: str = "case_id"
 def new_rows(
     incoming: DataFrame, stored_keys: DataFrame, order: Sequence[Column], key: str = "case_id"
 ) -> DataFrame:
-    """What an insert-if-absent of ``incoming`` would add; the first occurrence wins.
+    """S5 for narrow rows: what an insert-if-absent of ``incoming`` would add; the first wins.
 
-    ``incoming`` is read twice, first its key and order only. Rows that tie in both are equal
-    firsts, of which one is taken.
+    One exchange of the rows, cut to one per key and map task before it; the anti-join shares it.
+    Of rows that tie in ``order`` any one is taken.
     """
-    names = [f"_order_{i}" for i in range(len(order))]
-    placed = incoming.withColumns(dict(zip(names, order, strict=True)))
-    ranks = [F.col(n) for n in names]
-    firsts = first_per_key(placed.select(key, *names), ranks, key)
-    wanted = firsts.join(stored_keys.select(key), key, "left_anti")
-    wanted = wanted.withColumnsRenamed({n: f"_w{n}" for n in [key, *names]})
-    same = [F.col(n).eqNullSafe(F.col(f"_w{n}")) for n in names]
-    fresh = placed.join(wanted, [F.col(key) == F.col(f"_w{key}"), *same], "left_semi")
-    return first_per_key(fresh, ranks, key).drop(*names)
+    return first_per_key(incoming, order, key).join(stored_keys.select(key), key, "left_anti")
+
+
+def new_keys(
+    incoming: DataFrame, stored_keys: DataFrame, order: str, buckets: int, key: str = "case_id"
+) -> DataFrame:
+    """S5 for wide rows, first half: key and place of the rows to insert.
+
+    ``stored_keys`` are in ``buckets`` buckets: only the batch's keys move, to the buckets' own
+    partitions, after copies of a key have become one per map task. ``order`` is the column of a
+    row's place and must be total.
+    """
+    firsts = incoming.groupBy(key).agg(F.min(order).alias(order)).repartition(buckets, key)
+    # Spark would push an anti-join below the repartition and then move the stored keys instead.
+    stored = stored_keys.select(key, F.lit(True).alias("_stored"))
+    return firsts.join(stored, key, "left").filter("_stored IS NULL").drop("_stored")
+
+
+def rows_at(
+    incoming: DataFrame, wanted: DataFrame, order: str, key: str = "case_id"
+) -> DataFrame:
+    """S5 for wide rows, second half: the rows of ``incoming`` at the wanted keys and places."""
+    return incoming.join(wanted.select(key, order), [key, order], "left_semi")
 
 
 def load_accounting(

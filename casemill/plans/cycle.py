@@ -2,7 +2,10 @@
 
 Tables in the store: ``cases`` (append only, partitioned by load), ``status_pending`` and
 ``status_done`` (one status table in two parts, so a run rewrites the pending rows only),
-``rejects``, ``ledger`` and ``domains`` (the registered taxonomy). A status row remembers the load
+``rejects``, ``ledger`` and ``domains`` (the registered taxonomy). ``case_keys`` holds the stored
+case numbers in buckets, so a load costs its batch; ``left_status`` names the status rows that a
+purge of some domains has left without a case, so that a load compares its seeds with those few
+rows and not with all of the status. A status row remembers the load
 of its case, so that a run over the pending rows reads the texts of those loads only, not the
 whole master table. Reset and purge rewrite the folders that hold affected rows and no others.
 """
@@ -14,7 +17,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,18 +29,28 @@ from casemill.operators.lifecycle import (
     purge_status,
     reset_status,
 )
-from casemill.operators.load import REASON, accepted, new_rows, rejected, tag_rejects
-from casemill.operators.status import missing_status
+from casemill.operators.load import (
+    REASON,
+    accepted,
+    new_keys,
+    rejected,
+    rows_at,
+    tag_rejects,
+)
+from casemill.operators.status import missing_status, seed_status
 from casemill.operators.taxonomy import Domain, load_domains, taxonomy_frame, upsert_taxonomy
 from casemill.schema import STATUS, TAXONOMY
 from casemill.sources.delimited import LOAD_ORDER, RAGGED, read_export
+from casemill.sources.keys import KEYS, MOST_PARTS, key_buckets, stored_keys, write_keys
 from casemill.sources.ledger import LEDGER, changed_sources, list_sources
-from casemill.sources.store import PART, Part, Store, write_snapshot
+from casemill.sources.store import PART, Part, Store, part_token, write_snapshot
 
 PENDING, DONE, CASES, DOMAINS = "status_pending", "status_done", "cases", "domains"
+LEFT = "left_status"
 LOAD = "load_id"
 
 STORED_STATUS = T.StructType([*STATUS.fields, T.StructField(LOAD, T.StringType())])
+LEFT_ROWS = "domain string, case_id string"
 NO_CASES = f"case_id string, subject string, entry_date string, register_date string, {LOAD} string"
 
 
@@ -89,6 +102,26 @@ def _write_status(store: Store, name: str, status: DataFrame) -> Part:
     return store.write_part(name, status, sort_by=["domain", "case_id"])
 
 
+def _observed(df: DataFrame, **counts: Column) -> tuple[DataFrame, Observation]:
+    """``df``, and the counts that are taken while it is written."""
+    watch = Observation()
+    return df.observe(watch, *[c.alias(n) for n, c in counts.items()]), watch
+
+
+def _known_keys(store: Store) -> bool:
+    """Whether the key table is there; a store of cases without one gets it with its next load."""
+    return bool(store.folders(KEYS)) or not store.folders(CASES)
+
+
+def _seeds(store: Store, inserted: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Pending rows of inserted cases. A projection, unless a purge of some domains has left
+    status rows without a case; then those rows, and no others, are compared."""
+    if not store.folders(LEFT):
+        return seed_status(inserted, names, keep=[LOAD])
+    left = store.read(LEFT, LEFT_ROWS).join(inserted.select("case_id"), "case_id", "left_semi")
+    return missing_status(inserted, left, names, keep=[LOAD])
+
+
 def load_rows(
     store: Store,
     rows: DataFrame,
@@ -97,21 +130,40 @@ def load_rows(
 ) -> LoadCounts:
     """S4 to S7 for one batch of canonical rows; all tables change in one commit.
 
-    The batch is parsed once into a staging folder; counts, rejects and inserts read that.
-    Inserted cases are seeded for every registered domain; a status row that a partial purge has
-    left stays as it is. ``sources`` are ledger rows to record with the batch.
+    The batch is parsed once into a staging folder; rejects and inserts read that, and every count
+    is taken while rows are written. Inserted cases are seeded for every registered domain; a
+    status row that a partial purge has left stays as it is. ``sources`` are ledger rows to record
+    with the batch.
     """
     register_domains(store, domains)
-    staged = store.staged("staging", tag_rejects(rows))
-    fresh = new_rows(accepted(staged), read_cases(store), [F.col(LOAD_ORDER)])
-    stamped = fresh.drop(LOAD_ORDER, RAGGED).withColumn(LOAD, F.lit(uuid.uuid4().hex))
-    cases = _write_cases(store, stamped)
-    inserted = store.open_part(cases)
     names = [d.name for d in registered_domains(store)]
-    left = read_status(store).select("domain", "case_id").join(
-        inserted.select("case_id"), "case_id", "left_semi"
+    tagged, totals = _observed(
+        tag_rejects(rows),
+        processed=F.count(F.lit(1)),
+        rejected=F.count(REASON),
+        ragged=F.count_if(RAGGED),
+    )
+    staged = store.staged("staging", tagged)
+    good, buckets = accepted(staged), key_buckets(store)
+    compact = len(store.folders(KEYS)) >= MOST_PARTS
+    with stored_keys(store) as bucketed:
+        known = bucketed if _known_keys(store) else read_cases(store).select("case_id")
+        wanted = store.staged("staging", new_keys(good, known, LOAD_ORDER, buckets))
+        added_keys = wanted.select("case_id")
+        whole = compact or not _known_keys(store)
+        keys = write_keys(
+            store,
+            known.unionByName(added_keys) if whole else added_keys,
+            key_buckets(store, rewritten=whole),
+        )
+    fresh, inserts = _observed(
+        rows_at(good, wanted, LOAD_ORDER)
+        .drop(LOAD_ORDER, RAGGED)
+        .withColumn(LOAD, F.lit(uuid.uuid4().hex)),
+        n=F.count(F.lit(1)),
     )
-    seeds = missing_status(inserted, left, names, keep=[LOAD])
+    cases = _write_cases(store, fresh)
+    seeds, seeded = _observed(_seeds(store, store.open_part(cases), names), n=F.count(F.lit(1)))
     added = {
         CASES: cases,
         PENDING: _write_status(store, PENDING, seeds),
@@ -119,17 +171,19 @@ def load_rows(
     }
     if sources is not None:
         added["ledger"] = store.write_part("ledger", sources)
-    totals = staged.agg(
-        F.count("*").alias("processed"),
-        F.count(REASON).alias("rejected"),
-        F.count_if(RAGGED).alias("ragged"),
-    ).head()
-    n_inserted = inserted.count()
-    n_seeds = store.open_part(added[PENDING]).count()
-    store.commit(append=added)
-    existing = totals.processed - totals.rejected - n_inserted
-    kept = n_inserted * len(names) - n_seeds
-    return LoadCounts(totals.processed, n_inserted, existing, totals.rejected, totals.ragged, kept)
+    if whole:
+        store.commit(append=added, replace={KEYS: keys})
+    else:
+        store.commit(append={**added, KEYS: keys})
+    counts, n_inserted = totals.get, inserts.get["n"]
+    return LoadCounts(
+        processed=counts["processed"],
+        inserted=n_inserted,
+        existing=counts["processed"] - counts["rejected"] - n_inserted,
+        rejected=counts["rejected"],
+        ragged=counts["ragged"],
+        kept=n_inserted * len(names) - seeded.get["n"],
+    )
 
 
 def registered_domains(store: Store) -> list[Domain]:
@@ -247,23 +301,49 @@ def purge_store(
 ) -> None:
     """P3 on the stored tables: status rows first chosen through the master, then the master.
 
-    Folders without an affected row stay as they are, in all three tables.
+    Folders without an affected row stay as they are, in all three tables. Status rows of the
+    purged cases that stay, as their domain isn't named, are noted for the next loads.
     """
     cases = read_cases(store)
     keys = cases_in_periods(cases, prefixes).select("case_id")
-    append, drop = {}, {}
-    for name in (PENDING, DONE):
-        parts = _affected(store, name, keys, domains)
-        if parts:
-            kept = purge_status(store.read_folders(name, parts), cases, prefixes, domains)
-            append[name], drop[name] = _write_status(store, name, kept), parts
     victims = cases_in_periods(store.read_parts(CASES, NO_CASES), prefixes)
     parts = [r[PART] for r in victims.select(PART).distinct().collect()]
-    if parts:
-        kept = purge_cases(store.read_folders(CASES, parts), prefixes)
-        append[CASES], drop[CASES] = _write_cases(store, kept), parts
-    if drop:
-        store.commit(append=append, drop=drop)
+    if not parts:
+        return
+    kept = purge_cases(store.read_folders(CASES, parts), prefixes)
+    append: dict[str, Part] = {CASES: _write_cases(store, kept)}
+    drop = {CASES: parts}
+    for name in (PENDING, DONE):
+        touched = _affected(store, name, keys, domains)
+        if touched:
+            rows = purge_status(store.read_folders(name, touched), cases, prefixes, domains)
+            append[name], drop[name] = _write_status(store, name, rows), touched
+    append_left, drop[LEFT] = _left_status(store, keys, domains)
+    append.update(append_left)
+    with stored_keys(store) as bucketed:
+        known = bucketed if _known_keys(store) else cases.select("case_id")
+        left_keys = known.join(keys, "case_id", "left_anti")
+        replaced = write_keys(store, left_keys, key_buckets(store, rewritten=True))
+    store.commit(append=append, replace={KEYS: replaced}, drop=drop)
+
+
+def _left_status(
+    store: Store, keys: DataFrame, domains: Sequence[str] | None
+) -> tuple[dict[str, Part], list[str]]:
+    """What a purge of ``keys`` leaves in the note of status rows without a case, as a new folder
+    (none if it is empty) and the folders that go."""
+    noted = [part_token(f) for f in store.folders(LEFT)]
+    if domains is None and not noted:
+        return {}, []
+    rows = store.read(LEFT, LEFT_ROWS).join(keys, "case_id", "left_anti").select("domain", "case_id")
+    if domains is not None:
+        others = read_status(store).filter(~F.col("domain").isin(list(domains)))
+        rows = rows.unionByName(
+            others.join(keys, "case_id", "left_semi").select("domain", "case_id")
+        )
+    rows, watch = _observed(rows, n=F.count(F.lit(1)))
+    part = store.write_part(LEFT, rows)
+    return ({LEFT: part} if watch.get["n"] else {}), noted
 
 
 def run_cycle(

@@ -548,6 +548,61 @@ SELECT s.domain, s.case_id,
 FROM status s JOIN verdicts v ON s.case_id = v.case_id AND s.domain = v.domain
 JOIN (SELECT *, coalesce(contains(subject, '|') AND trim(subject) <> '', FALSE) AS failing
       FROM hits) h ON s.case_id = h.case_id""",
+    "classify_model": ON_STATUS
+    + """
+, labelled AS (
+  SELECT domain, case_id, coalesce(category, 'NO_APLICA') AS label FROM status WHERE method = 'IA'
+),
+spoken AS MATERIALIZED (
+  SELECT case_id, unnest(regexp_extract_all(lower(subject), '[\\p{L}\\p{N}]+')) AS word
+  FROM cases WHERE subject IS NOT NULL
+),
+counted AS MATERIALIZED (
+  SELECT domain, label, word, count(*) AS n FROM labelled JOIN spoken USING (case_id)
+  GROUP BY domain, label, word
+),
+vocabulary AS (SELECT DISTINCT word FROM counted),
+labels AS (
+  SELECT domain, label, ln(n / sum(n) OVER (PARTITION BY domain)) AS prior
+  FROM (SELECT domain, label, count(*) AS n FROM labelled GROUP BY domain, label)
+),
+bases AS (
+  SELECT l.domain, l.label, l.prior,
+         ln(coalesce(t.total, 0) + (SELECT count(*) FROM vocabulary)) AS base
+  FROM labels l LEFT JOIN
+    (SELECT domain, label, sum(n) AS total FROM counted GROUP BY domain, label) t
+    ON l.domain = t.domain AND l.label = t.label
+),
+waiting AS (
+  SELECT s.domain, s.case_id FROM status s JOIN cases c USING (case_id)
+  WHERE NOT s.processed AND c.subject IS NOT NULL AND trim(c.subject) <> ''
+),
+known AS (
+  SELECT case_id, count(*) AS n_known FROM spoken JOIN vocabulary USING (word) GROUP BY case_id
+),
+gained AS (
+  SELECT case_id, domain, label, sum(ln(n + 1)) AS gain
+  FROM spoken JOIN counted USING (word) GROUP BY case_id, domain, label
+),
+answers AS (
+  SELECT w.domain, w.case_id, b.label
+  FROM waiting w JOIN bases b USING (domain)
+  LEFT JOIN known k ON w.case_id = k.case_id
+  LEFT JOIN gained g ON w.case_id = g.case_id AND w.domain = g.domain AND b.label = g.label
+  QUALIFY row_number() OVER (
+    PARTITION BY w.domain, w.case_id
+    ORDER BY round(prior + coalesce(gain, 0) - coalesce(n_known, 0) * base, 6) DESC, b.label
+  ) = 1
+)
+SELECT s.domain, s.case_id,
+       CASE WHEN s.processed THEN s.category ELSE nullif(a.label, 'NO_APLICA') END AS category,
+       s.processed OR a.label IS NOT NULL OR blank AS processed,
+       CASE WHEN s.processed THEN s.method WHEN blank THEN 'VACIO'
+            WHEN a.label IS NOT NULL THEN 'IA' END AS method
+FROM status s
+JOIN (SELECT case_id, subject IS NULL OR trim(subject) = '' AS blank FROM cases) c
+  ON s.case_id = c.case_id
+LEFT JOIN answers a ON s.case_id = a.case_id AND s.domain = a.domain""",
     "reset_month": ON_STATUS
     + f"""
 SELECT s.domain, s.case_id, CASE WHEN NOT hit THEN s.category END AS category,
@@ -633,3 +688,94 @@ GROUP BY 1, 2""",
 SELECT case_id, domain, original_category, predicted, round(confidence, 4) AS confidence, top3
 FROM evaluated WHERE NOT match ORDER BY case_id, domain LIMIT 8""",
 }
+
+
+# --- the stored path ----------------------------------------------------------------------------
+
+_PURGED = f"coalesce({_MONTHS}, FALSE)"
+_RESET = f"coalesce({_MONTH}, FALSE)"
+
+STORE_ORACLES: dict[str, str] = {
+    "whole_run": _with(CASES, HITS, _outcomes(_METHOD))
+    + f"""
+SELECT o.domain, o.case_id,
+       CASE WHEN done THEN o.category END AS category, done AS processed,
+       CASE WHEN done THEN o.method END AS method
+FROM (SELECT o.*, o.domain = 'contact' AND c.order_status <> 'O'
+                  AND NOT {_RESET} AND NOT {_PURGED} AS done
+      FROM outcomes o JOIN cases c USING (case_id)) o""",
+    "reseed_after_partial_purge": _with(CASES, HITS, _outcomes(_METHOD))
+    + f"""
+SELECT o.domain, o.case_id,
+       CASE WHEN done THEN o.category END AS category, done AS processed,
+       CASE WHEN done THEN o.method END AS method
+FROM (SELECT o.*, c.order_status <> 'O'
+                  AND NOT (o.domain IN ('licence', 'contact') AND {_PURGED}) AS done
+      FROM outcomes o JOIN cases c USING (case_id)) o""",
+    "load_counts": """
+WITH loads AS (
+  SELECT 1 AS load, CAST(o_orderkey AS VARCHAR) AS case_id FROM orders WHERE o_orderstatus = 'F'
+  UNION ALL
+  SELECT 2, CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderstatus <> 'O'
+  UNION ALL
+  SELECT 3, CAST(l_orderkey AS VARCHAR) FROM lineitem
+),
+firsts AS (SELECT case_id, min(load) AS load FROM loads WHERE case_id IS NOT NULL GROUP BY case_id)
+SELECT CAST(l.load AS INTEGER) AS load, l.n AS processed, coalesce(f.n, 0) AS inserted,
+       l.n - coalesce(f.n, 0) - l.rejected AS existing, l.rejected
+FROM (SELECT load, count(*) AS n, count(*) - count(case_id) AS rejected FROM loads GROUP BY load) l
+LEFT JOIN (SELECT load, count(*) AS n FROM firsts GROUP BY load) f USING (load)""",
+    "streamed_intake": ON_CASES
+    + """
+SELECT case_id,
+       CASE WHEN order_status = 'O' THEN concat_ws(' ', 'later', priority)
+            ELSE nullif(replace(replace(subject, chr(13) || chr(10), chr(10)), chr(13), chr(10)), '')
+       END AS subject,
+       entry_date
+FROM cases""",
+    "snapshot_difference": ON_CASES
+    + f"""
+SELECT domain, case_id, change FROM (
+  SELECT domain, case_id,
+         CASE WHEN order_status = 'O' THEN 'added'
+              WHEN {_PURGED} THEN 'removed'
+              WHEN {_RESET} AND domain = 'contact' THEN 'changed' END AS change
+  FROM cases CROSS JOIN domains
+) WHERE change IS NOT NULL""",
+    "delimited_round_trip": """
+SELECT CAST(doc_id AS VARCHAR) AS case_id,
+       nullif(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)), '') AS subject,
+       nullif(lang, '') AS entry_date, nullif(source, '') AS register_date,
+       FALSE AS was_ragged,
+       CASE WHEN doc_id IS NULL THEN 'missing_key' END AS reject_reason
+FROM documents
+UNION ALL
+SELECT CASE WHEN s_suppkey % 3 < 2 THEN 's' || s_suppkey END,
+       CASE WHEN s_suppkey % 3 = 1 THEN 'nul ' || chr(0) || ' ' || s_name ELSE s_name END,
+       CASE WHEN s_suppkey % 3 > 0 THEN 'x' END, CASE WHEN s_suppkey % 3 > 0 THEN 'y' END,
+       s_suppkey % 3 <> 1,
+       CASE s_suppkey % 3 WHEN 1 THEN 'nul_character' WHEN 2 THEN 'missing_key' END
+FROM supplier""",
+    "changed_tables": "SELECT 'orders' AS source, CAST(count(*) AS BIGINT) AS n_rows FROM orders",
+    "evaluation_files": ON_EVALUATION
+    + """
+SELECT case_id, domain, original_category, predicted, match,
+       CAST(count(*) AS BIGINT) AS in_json, CAST(count(*) AS BIGINT) AS in_csv
+FROM evaluated GROUP BY case_id, domain, original_category, predicted, match""",
+    "evaluation_counts": ON_EVALUATION
+    + """
+SELECT count(*) AS total, CAST(sum(CAST(match AS INT)) AS BIGINT) AS matches,
+       CAST(0 AS BIGINT) AS failures FROM evaluated""",
+    "registered_domains": """
+WITH topics AS (
+  SELECT source, coalesce(lang, 'none') AS name, 0 AS round FROM documents WHERE source IS NOT NULL
+  UNION
+  SELECT source, coalesce(lang, 'none'), 1 FROM documents JOIN labels USING (doc_id)
+  WHERE source IS NOT NULL
+)
+SELECT source AS domain, string_agg(name, '|' ORDER BY name) AS categories,
+       string_agg(name, '|' ORDER BY name) AS keywords
+FROM topics t
+WHERE round = (SELECT max(round) FROM topics u WHERE u.source = t.source)
+GROUP BY source""",
+}

@@ -83,6 +83,20 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return written(df, staging_path(df.sparkSession, name))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def file_names(spark: SparkSession, path: str) -> frozenset[str]:
+    """The names in a folder, none if it doesn't exist."""
+    if not path_exists(spark, path):
+        return frozenset()
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
+    return frozenset(entry.getPath().getName() for entry in listed)
+
+
 def remove_staged(spark: SparkSession, path: str) -> None:
     """Remove what ``written`` has put at ``path``; nothing may read it any more."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

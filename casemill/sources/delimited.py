@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,14 +37,46 @@ def _options(multiline: bool, header: bool) -> dict[str, str]:
     }
 
 
-def read_header(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
-    """The normalised column names of an export; reads its first record only."""
-    first = spark.read.options(**_options(False, False)).csv(path).head()
+def read_header(spark: SparkSession, path: str) -> list[str]:
+    """The normalised column names of one export; reads its first record only."""
+    first = spark.read.options(**_options(True, False)).csv(path).head()
     if first is None:
         raise ValueError(f"no header in {path}")
     return normalise_headers([cell or "" for cell in first])
 
 
+def read_headers(spark: SparkSession, path: str | Sequence[str]) -> dict[str, list[str]]:
+    """S2 for many files: file and normalised column names, found by one job.
+
+    The tasks that read the starts of files each keep the first line of a file, so one row a file
+    is shuffled and returned, as many as the listing has. A header cell may hold quotes and
+    separators; only a header whose quotes don't close in its first line is read again by itself.
+    """
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    firsts = (
+        lines.filter("block_start = 0 AND trim(value) <> ''")
+        .groupBy("file")
+        .agg(F.min_by("value", "place").alias("line"))
+        .collect()
+    )
+    cells = {line: _header_cells(line) for line in {r.line for r in firsts}}
+    names = {line: normalise_headers(c) for line, c in cells.items() if c is not None}
+    files = {unquote(r.file): r.line for r in firsts}  # the metadata column has an encoded URI
+    return {f: names[n] if n in names else read_header(spark, f) for f, n in files.items()}
+
+
+def _header_cells(line: str) -> list[str] | None:
+    """The cells of a header line, None if its last quoted cell goes on in the next line."""
+    if line.count('"') % 2:
+        return None
+    return next(csv.reader([line.removeprefix("\ufeff")], delimiter=SEPARATOR), [])
+
+
 def export_schema(names: Sequence[str]) -> T.StructType:
     """Every column is text; the corrupt-record column marks ragged rows."""
     return T.StructType([T.StructField(n, T.StringType()) for n in [*names, _CORRUPT]])
@@ -56,8 +90,8 @@ def read_export(
 ) -> DataFrame:
     """S1 + S3: an export as canonical text columns plus ``was_ragged`` and ``load_order``.
 
-    Every file is read by its own header (its first record is read for that), files with equal
-    headers together; columns that a file lacks are NULL. ``names`` overrides all headers.
+    Every file is read by its own header (one job finds them all), files with equal headers
+    together; columns that a file lacks are NULL; an empty file has no rows. ``names`` overrides all headers.
     Short rows are padded with NULL, long rows are cut, both are flagged. An empty field is NULL.
     ``multiline=False`` lets Spark split a file among tasks; use it when no quoted field holds a
     line break. ``load_order`` sorts rows by file time, file, position: "first in the file".
@@ -65,8 +99,11 @@ def read_export(
     if names is not None:
         return _read_alike(spark, path, multiline, list(names))
     alike: dict[tuple[str, ...], list[str]] = {}
-    for file in export_files(spark, path):
-        alike.setdefault(tuple(read_header(spark, file)), []).append(file)
+    headers = read_headers(spark, path)
+    for file in sorted(headers):
+        alike.setdefault(tuple(headers[file]), []).append(file)
+    if not alike:
+        raise ValueError(f"no export in {path}")
     parts = [_read_alike(spark, files, multiline, list(n)) for n, files in alike.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
@@ -78,14 +115,6 @@ def _read_alike(
     return tidy_export(reader.csv(path), names)
 
 
-def export_files(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
-    """The files of an export: the listing that every batch read keeps on the driver."""
-    files = spark.read.text(path).inputFiles()
-    if not files:
-        raise ValueError(f"no export in {path}")
-    return sorted(files)
-
-
 def tidy_export(raw: DataFrame, names: Sequence[str]) -> DataFrame:
     """Canonical columns, flags and order of a raw export DataFrame."""
     order = F.struct(
@@ -120,7 +149,14 @@ def write_delimited(
     """
     out = df.coalesce(1) if single_file else df
     out.write.mode("error").options(
-        sep=separator, header="true", quote='"', escape='"', emptyValue="", nullValue=""
+        sep=separator,
+        header="true",
+        quote='"',
+        escape='"',
+        emptyValue="",
+        nullValue="",
+        ignoreLeadingWhiteSpace="false",  # a writer would strip texts
+        ignoreTrailingWhiteSpace="false",
     ).csv(path)
 
 

@@ -18,6 +18,23 @@ def list_sources(spark: SparkSession, path: str, pattern: str = "*") -> DataFram
     )
 
 
+def list_rows(rows: DataFrame) -> DataFrame:
+    """Path, number of rows and time of every file that ``rows`` are read from.
+
+    Where a file's size says little, as after a filter, its rows are what is compared. Counted by
+    the tasks that read the file; one row a file and task is shuffled.
+    """
+    return (
+        rows.select(
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_modification_time").alias("modified"),
+        )
+        .groupBy("path", "modified")
+        .agg(F.count("*").alias("length"))
+        .select("path", "length", "modified")
+    )
+
+
 def changed_sources(listing: DataFrame, ledger: DataFrame, force: bool = False) -> DataFrame:
     """Files whose path, length and time are not in the ledger; ``force`` takes all.
 

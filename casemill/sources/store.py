@@ -14,13 +14,14 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from casemill.session import file_names, path_exists
+
 _LOG = "name string, version long, folders array<string>, columns string"
 _TAGS = "stamp string, name string, folders array<string>, columns string"
 
@@ -30,7 +31,7 @@ PART = "_part"
 _PART_PATTERN = "/part=([0-9a-f]{32})/"
 
 
-def _token(folder: str) -> str:
+def part_token(folder: str) -> str:
     """The part of a folder's name that is its own, however its path is written."""
     return folder.rpartition("part=")[2]
 
@@ -47,15 +48,21 @@ class Part:
 class Store:
     spark: SparkSession
     root: str
+    _read: dict = field(default_factory=dict, repr=False, compare=False)
 
     def _current(self) -> dict[str, tuple[int, list[str], T.StructType]]:
-        """Newest version, folders and columns per table: one row per table of the store."""
-        try:
-            log = self.spark.read.schema(_LOG).parquet(f"{self.root}/_commits")
-        except AnalysisException as problem:
-            if problem.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return {}
+        """Newest version, folders and columns per table: one row per table of the store.
+
+        The log is read again when it has other files than last time.
+        """
+        files = file_names(self.spark, f"{self.root}/_commits")
+        if files not in self._read:
+            self._read.clear()
+            self._read[files] = self._newest() if files else {}
+        return self._read[files]
+
+    def _newest(self) -> dict[str, tuple[int, list[str], T.StructType]]:
+        log = self.spark.read.schema(_LOG).parquet(f"{self.root}/_commits")
         newest = log.groupBy("name").agg(
             F.max_by(F.struct("version", "folders", "columns"), "version").alias("c")
         )
@@ -78,6 +85,13 @@ class Store:
     def folders(self, name: str) -> list[str]:
         return self._current().get(name, (0, [], None))[1]
 
+    def columns(self, name: str) -> T.StructType | None:
+        """The columns of a table that has been committed once."""
+        return self._current().get(name, (0, [], None))[2]
+
+    def new_folder(self, name: str) -> str:
+        return f"{self.root}/{name}/part={uuid.uuid4().hex}"
+
     def read_parts(self, name: str, empty: T.StructType | str) -> DataFrame:
         """The current rows with the folder each one is in, as ``PART``."""
         _, folders, schema = self._current().get(name, (0, [], None))
@@ -90,7 +104,7 @@ class Store:
     def read_folders(self, name: str, tokens: Sequence[str]) -> DataFrame:
         """The rows of some of the current folders, given by their tokens."""
         _, folders, schema = self._current()[name]
-        return self._open(name, [f for f in folders if _token(f) in set(tokens)], schema)
+        return self._open(name, [f for f in folders if part_token(f) in set(tokens)], schema)
 
     def tag(self, stamp: str) -> None:
         """S17 without a copy: keep the current state under a name; folders never change."""
@@ -98,6 +112,13 @@ class Store:
         tags = self.spark.createDataFrame(rows, _TAGS)
         tags.coalesce(1).write.mode("append").parquet(f"{self.root}/_tags")
 
+    def latest_tag(self) -> str | None:
+        """The newest tag, None before the first."""
+        if not path_exists(self.spark, f"{self.root}/_tags"):
+            return None
+        tags = self.spark.read.schema(_TAGS).parquet(f"{self.root}/_tags")
+        return tags.agg(F.max("stamp")).head()[0]
+
     def read_tag(self, stamp: str, name: str) -> DataFrame:
         """A table as it was when it was tagged."""
         tags = self.spark.read.schema(_TAGS).parquet(f"{self.root}/_tags")
@@ -117,7 +138,7 @@ class Store:
 
         ``sort_by`` sorts within the files, so that row groups can be skipped.
         """
-        part = Part(f"{self.root}/{name}/part={uuid.uuid4().hex}", df.schema)
+        part = Part(self.new_folder(name), df.schema)
         rows = df.sortWithinPartitions(*sort_by) if sort_by else df
         rows.write.mode("error").partitionBy(*partition_by).parquet(part.folder)
         return part
@@ -143,7 +164,7 @@ class Store:
         for name in dict.fromkeys([*append, *drop]):
             version, folders, schema = current.get(name, (0, [], None))
             gone = set(drop.get(name, ()))
-            folders = [f for f in folders if _token(f) not in gone]
+            folders = [f for f in folders if part_token(f) not in gone]
             columns = None if schema is None else schema.json()
             if name in append:
                 folders = [*folders, append[name].folder]
@@ -195,12 +216,39 @@ def write_snapshot(tables: Mapping[str, DataFrame], root: str, stamp: str, inser
 
 def latest_snapshot(spark: SparkSession, root: str) -> str | None:
     """The newest complete snapshot."""
-    try:
-        return spark.read.parquet(f"{root}/_manifest").agg(F.max("snapshot")).head()[0]
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not path_exists(spark, f"{root}/_manifest"):
         return None
+    return spark.read.parquet(f"{root}/_manifest").agg(F.max("snapshot")).head()[0]
+
+
+ADDED, CHANGED, REMOVED = "added", "changed", "removed"
+
+
+def table_difference(
+    before: DataFrame, after: DataFrame, key: str | Sequence[str]
+) -> DataFrame:
+    """``key`` columns and ``change`` of every row that differs between two states of a table.
+
+    Rows are compared by a hash of their other columns, so keys and two numbers a row are what is
+    shuffled. A column that only one state has counts as NULL in the other. Keys don't repeat.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    names = sorted({*before.columns, *after.columns} - set(keys))
+
+    def digested(df: DataFrame, name: str) -> DataFrame:
+        own = set(df.columns)
+        values = [F.col(f"`{n}`") if n in own else F.lit(None).cast("string") for n in names]
+        texts = [F.to_json(F.struct(v.alias("v"))) for v in values]  # a NULL is an empty object
+        whole = F.unhex(F.sha2(F.concat_ws("\x1f", *texts), 256))
+        return df.select(*[F.col(f"`{k}`") for k in keys], whole.alias(name))
+
+    joined = digested(before, "_old").join(digested(after, "_new"), keys, "full_outer")
+    change = (
+        F.when(F.col("_old").isNull(), ADDED)
+        .when(F.col("_new").isNull(), REMOVED)
+        .when(F.col("_old") != F.col("_new"), CHANGED)
+    )
+    return joined.select(*keys, change.alias("change")).filter("change IS NOT NULL")
 
 
 def write_bucketed(df: DataFrame, table: str, buckets: int, path: str | None = None) -> None:

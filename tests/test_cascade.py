@@ -263,7 +263,7 @@ def test_text_model_learns_and_serves_all_domains(make_cases, make_status):
     label = {"d": "Dog", "c": "Cat", "n": None}
     rows = [("pets", f"{k}{i}", c, True, "IA") for k, c in label.items() for i in range(5)]
     rows += [("noise", f"{k}{i}", "Bar" if k == "n" else None, True, "IA") for k in label for i in range(5)]
-    model = TextModel.fit(make_status(*rows), cases, features=1 << 10)
+    model = TextModel.fit(make_status(*rows), cases)
     texts = cases.filter("length(case_id) = 1").selectExpr(
         "case_id", "subject", "array('pets', 'noise') AS domains"
     )
@@ -279,3 +279,47 @@ def test_text_model_learns_and_serves_all_domains(make_cases, make_status):
     unknown = model.score(texts.selectExpr("case_id", "subject", "array('new') AS domains"),
                           [Domain("new", ("A",))])
     assert unknown.filter("answer IS NULL").count() == 3
+
+
+def test_text_model_equals_plain_counts(spark, make_cases, make_status):
+    """Scores from counts in Python: add-one smoothing over the exact shared vocabulary."""
+    import math
+    import random
+    import re
+
+    rng = random.Random(4)
+    vocabulary = ["Été", "größe", "x1", "alpha", "beta", "gamma", "12", "日本"]
+    texts = {f"t{i}": " ".join(rng.choices(vocabulary, k=rng.randint(0, 9))) + "!" for i in range(40)}
+    texts["new"] = "unseen words only"
+    labels = {(d, k): rng.choice([*c, None]) for d, c in (("pets", ("Dog", "Cat")), ("noise", ("Bar",)))
+              for k in list(texts)[:30]}
+    status = make_status(*[(d, k, c, True, "IA") for (d, k), c in labels.items()])
+    cases = make_cases(*texts.items())
+    model = TextModel.fit(status, cases)
+    asked = cases.selectExpr("case_id", "subject", "array('pets', 'noise') AS domains")
+    got = {(r.case_id, r.domain): r for r in model.score(asked, DOMAINS).collect()}
+
+    words = {k: re.findall(r"\w+", t.lower()) for k, t in texts.items()}
+    known = {w for k in list(texts)[:30] for w in words[k]}
+    for (case, domain), r in got.items():
+        scores = {}
+        for label in sorted({v or "NO_APLICA" for (d, _), v in labels.items() if d == domain}):
+            own = [k for (d, k), v in labels.items() if d == domain and (v or "NO_APLICA") == label]
+            said = [w for k in own for w in words[k]]
+            total = sum(d == domain for d, _ in labels)
+            scores[label] = math.log(len(own) / total) + sum(
+                math.log((said.count(w) + 1) / (len(said) + len(known)))
+                for w in words[case] if w in known
+            )
+        whole = sum(map(math.exp, scores.values()))
+        assert r.answer == max(scores, key=scores.get)
+        assert r.probabilities == pytest.approx(
+            {k: math.exp(v) / whole for k, v in scores.items()}, abs=1e-4
+        )
+
+
+def test_text_model_of_nothing(spark, make_cases, make_status):
+    cases = make_cases(("1", "a"), ("2", None))
+    model = TextModel.fit(make_status().filter("false"), cases)
+    asked = cases.selectExpr("case_id", "subject", "array('pets') AS domains")
+    assert as_set(model.score(asked, DOMAINS), "case_id", "answer") == {("1", None), ("2", None)}

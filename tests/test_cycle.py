@@ -7,7 +7,8 @@ from casemill.operators.engines import CallableEngine, TermRules
 from casemill.operators.taxonomy import Domain
 from casemill.plans import cycle
 from casemill.sources.ledger import LEDGER, changed_sources, list_sources
-from casemill.sources.store import Store, latest_snapshot, write_snapshot
+from casemill.sources.keys import KEYS, stored_keys
+from casemill.sources.store import Store, latest_snapshot, table_difference, write_snapshot
 from casemill.streaming.intake import start_intake
 
 DOMAINS = [Domain("pets", ("Dog", "Cat")), Domain("noise", ("Bar",))]
@@ -148,6 +149,74 @@ def test_partial_purge_then_reload_keeps_the_other_rows(spark, tmp_path, store):
     assert as_set(status) == before
 
 
+def test_a_load_reads_no_finished_status(spark, tmp_path, store):
+    """Seeds are a projection; only after a purge of some domains a note of its rows is compared."""
+    source = land(tmp_path / "in", "a.csv", *FIRST)
+    run(spark, source, store)
+    cases = cycle.read_cases(store)
+    plan = plan_of(cycle._seeds(store, cases, ["pets", "noise"]))
+    assert "Join" not in plan and "Exchange" not in plan and "status" not in plan
+    cycle.purge_store(store, ["2026-03"], ["pets"])
+    assert as_set(store.read(cycle.LEFT, cycle.LEFT_ROWS)) == {("noise", "1"), ("noise", "3")}
+    read = " ".join(cycle._seeds(store, cases, ["pets", "noise"]).inputFiles())
+    assert "left_status" in read and "status_done" not in read and "status_pending" not in read
+    assert run(spark, source, store, force=True).load.kept == 2
+    cycle.purge_store(store, ["2026-03"])
+    assert store.folders(cycle.LEFT) == []
+    assert run(spark, source, store, force=True).load == cycle.LoadCounts(4, 2, 2, 0, 1, 0)
+    assert cycle.read_status(store).count() == 6
+
+
+def test_keys_follow_loads_and_purges(spark, tmp_path, store, monkeypatch):
+    """Every load adds a folder of keys until they are written as one; a purge takes keys out."""
+    monkeypatch.setattr(cycle, "MOST_PARTS", 2)
+    sizes = []
+    for i in range(4):
+        rows = [f"{k}»t»2026-0{i + 1}-01»»" for k in range(3 * i, 3 * i + 4)]
+        source = land(tmp_path / f"in{i}", "a.csv", *rows)
+        counts = cycle.load_rows(store, cycle.read_export(spark, source), DOMAINS)
+        assert counts.inserted == (4 if i == 0 else 3)
+        sizes.append(len(store.folders(KEYS)))
+    assert sizes == [1, 2, 1, 2]
+    cycle.purge_store(store, ["2026-02"])
+    with stored_keys(store) as keys:
+        assert keys.count() == keys.distinct().count() == 10
+        assert as_set(keys) == as_set(cycle.read_cases(store), "case_id")
+
+
+def test_a_store_without_keys_gets_them(spark, tmp_path, store):
+    source = land(tmp_path / "in", "a.csv", *FIRST)
+    run(spark, source, store)
+    old = Store(spark, str(tmp_path / "old"))
+    old.append(cycle.CASES, cycle.read_cases(store))
+    counts = cycle.load_rows(old, cycle.read_export(spark, source), DOMAINS)
+    assert (counts.inserted, counts.existing) == (0, 4)
+    with stored_keys(old) as keys:
+        assert as_set(keys) == {("1",), ("2",), ("3",)}
+
+
+def test_empty_batch(spark, tmp_path, store):
+    source = land(tmp_path / "in", "a.csv")
+    counts = cycle.load_rows(store, cycle.read_export(spark, source), DOMAINS)
+    assert counts == cycle.LoadCounts(0, 0, 0, 0, 0, 0)
+
+
+def test_difference_of_two_tags(spark, store):
+    kind = "k string, a string, b long"
+    assert store.latest_tag() is None
+    store.append("t", spark.createDataFrame([("1", "x", 1), ("2", None, 2), ("3", "y", 3)], kind))
+    store.tag("2026-01")
+    later = [("1", "x", 1, None), ("2", "", 2, None), ("4", None, None, None), ("5", "z", 1, "new")]
+    store.replace("t", spark.createDataFrame(later, f"{kind}, c string"))
+    store.tag("2026-02")
+    assert store.latest_tag() == "2026-02"
+    old, new = (store.read_tag(s, "t") for s in ("2026-01", store.latest_tag()))
+    assert as_set(table_difference(old, new, "k")) == {
+        ("2", "changed"), ("3", "removed"), ("4", "added"), ("5", "added"),
+    }
+    assert table_difference(new, new, ["k"]).count() == 0
+
+
 def test_one_domain_run_seeds_all_domains(spark, tmp_path, store):
     source = land(tmp_path / "in", "a.csv", *FIRST)
     run(spark, source, store, only=["pets"])

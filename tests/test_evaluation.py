@@ -158,3 +158,29 @@ def test_rules_need_no_python(spark):
     result = ev.evaluate(sample, [PETS], TermRules({}, closed=True))
     assert as_set(result, "case_id", "predicted", "match") == {("1", "Dog", True), ("2", "Bird", False)}
     assert "Python" not in plan_of(result) and "MapInPandas" not in plan_of(result)
+
+
+def test_results_are_counted_while_written(spark, tmp_path):
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    def factory():
+        def predict(batch):
+            (calls / f"{len(list(calls.iterdir()))}").touch()
+            return ["Dog" if s == "woof" else None for s in batch["subject"]]
+
+        return predict
+
+    sample = spark.createDataFrame(
+        [("1", "pets", "Dog", "IA", "woof"), ("2", "pets", "Cat", "IA", "woof"), ("3", "pets", "Cat", "IA", "?")],
+        "case_id string, domain string, original_category string, original_method string, subject string",
+    ).coalesce(1)
+    engine = CallableEngine(factory, retries=0)
+    rows = ev.result_rows(ev.evaluate(sample, [PETS], engine))
+    run = ev.write_results(rows, str(tmp_path / "out"))
+    assert (run.total, run.matches, run.failures) == (3, 1, 1) and run.rows_per_second > 0
+    assert spark.read.json(str(tmp_path / "out")).count() == 3
+    n_calls = len(list(calls.iterdir()))
+    nothing = ev.write_results(rows.filter("false"), str(tmp_path / "none"))
+    assert (nothing.total, nothing.matches, nothing.failures) == (0, 0, 0)
+    assert n_calls <= 3  # one pass: the whole batch, then its failing half

@@ -8,7 +8,11 @@ from casemill.operators.taxonomy import (
     upsert_taxonomy,
 )
 from casemill.schema import STATUS, add_missing_columns
-from casemill.sources.delimited import LOAD_ORDER, RAGGED, read_export, write_delimited
+from casemill.sources.delimited import (
+    LOAD_ORDER, RAGGED, read_export, read_headers, write_delimited,
+)
+from casemill.sources.keys import KEYS, key_buckets, stored_keys, write_keys
+from casemill.sources.store import Store
 
 
 def write_bytes(path, data: bytes):
@@ -127,3 +131,71 @@ def test_export_round_trip(spark, tmp_path, make_cases):
     write_delimited(cases, out)
     back = read_export(spark, out)
     assert as_set(back, "case_id", "subject", "entry_date") == as_set(cases, "case_id", "subject", "entry_date")
+
+
+def test_stored_keys_are_not_exchanged(spark, tmp_path, make_cases):
+    """The key table is read bucket by bucket; only the batch's keys move."""
+    store = Store(spark, str(tmp_path / "store's"))
+    with stored_keys(store) as none:
+        assert none.count() == 0
+    for part in (["a", "b"], ["c"]):
+        rows = make_cases(*[(k,) for k in part])
+        store.commit(append={KEYS: write_keys(store, rows, 6)})
+    assert key_buckets(store) == 6
+    batch = make_cases(("a", "x", "1"), ("d", "later", "2"), ("d", "first", "1"), ("e", "y", "1"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with stored_keys(store) as known:
+            assert as_set(known) == {("a",), ("b",), ("c",)}
+            wanted = load.new_keys(batch, known, "entry_date", key_buckets(store))
+            plan = plan_of(wanted)
+            assert as_set(wanted) == {("d", "1"), ("e", "1")}
+            wanted = spark.createDataFrame(wanted.collect(), wanted.schema)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 2
+    stored_side = plan[plan.rindex("Sort ["):]
+    assert "FileScan parquet" in stored_side and "Exchange" not in stored_side
+    assert as_set(load.rows_at(batch, wanted, "entry_date"), "subject") == {("first",), ("y",)}
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("casemill_keys")]
+
+
+def test_headers_of_many_files_take_one_job(spark, tmp_path):
+    folder = tmp_path / "many files"
+    folder.mkdir()
+    for i in range(1000):
+        extra = "»Otro" if i % 2 else ""
+        (folder / f"part {i}.csv").write_text(f"Número petición»Asunto{extra}\n{i}»t»z\n", "utf-8")
+    (folder / "quoted.csv").write_text('﻿"Número petición"»"Asunto ""x"" » y"\nq»t\n', "utf-8")
+    (folder / "wrapped.csv").write_text('Número petición»"Asunto\nlargo"\nw»t\n', "utf-8")
+    (folder / "empty.csv").write_text("", "utf-8")
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs(paths):
+        spark.sparkContext.setJobGroup(f"headers-{len(paths)}", "")
+        found = read_headers(spark, paths)
+        return found, len(tracker.getJobIdsForGroup(f"headers-{len(paths)}"))
+
+    plain = sorted(str(p) for p in folder.glob("part *"))
+    try:
+        (many, n_many), (few, n_few) = jobs(plain), jobs(plain[:3])
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert len(many) == 1000 and len(few) == 3 and n_many <= n_few + 1
+    assert {tuple(n) for n in many.values()} == {
+        ("numero_peticion", "asunto"), ("numero_peticion", "asunto", "otro")
+    }
+    named = {k.rpartition("/")[2]: v for k, v in read_headers(spark, str(folder)).items()}
+    assert len(named) == 1002
+    assert named["quoted.csv"] == ["numero_peticion", 'asunto_"x"_»_y']
+    assert named["wrapped.csv"] == ["numero_peticion", "asunto\nlargo"]
+    rows = read_export(spark, str(folder))
+    assert rows.count() == 1002 and rows.filter("otro = 'z'").count() == 500
+
+
+def test_written_exports_keep_white_space(spark, tmp_path):
+    texts = ["  a  ", 'say "x"', "two\nlines", "with » inside", "tab\t", ""]
+    rows = spark.createDataFrame(list(enumerate(texts)), "a long, b string")
+    write_delimited(rows, str(tmp_path / "out"))
+    back = read_export(spark, str(tmp_path / "out"))
+    assert as_set(back, "b") == {(t or None,) for t in texts}

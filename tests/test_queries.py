@@ -4,18 +4,19 @@ import pytest
 from compare import connect, difference
 
 from __spark_entry__ import entry, oracle_sql, queries
-from casemill.plans.oracles import ORACLES
+from casemill.plans.oracles import ORACLES, STORE_ORACLES
 from casemill.plans.queries import QUERIES
+from casemill.plans.store_queries import STORE_QUERIES
 
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
+@pytest.mark.parametrize("name", sorted({**ORACLES, **STORE_ORACLES}))
 def test_query_equals_sql(spark, name):
     assert difference(spark, connect(SF), name, SF) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+@pytest.mark.parametrize("name", sorted({**QUERIES, **STORE_QUERIES}.keys() - {**ORACLES, **STORE_ORACLES}.keys()))
 def test_query_without_sql_has_rows(spark, name):
     assert queries()[name](spark, SF).count() > 0
 
