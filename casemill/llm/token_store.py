@@ -224,7 +224,14 @@ class TokenShard:
         self.seq = take("<u4" if wide else "<u2", n_symbols).astype(np.int32)
 
     def all_ids(self) -> np.ndarray:
-        return expand(self.seq, self.alphabet, self.rules)
+        """All ids: each symbol's expansion, made once, is copied to where the symbol stands."""
+        symbols = np.arange(len(self.lengths), dtype=np.int32)
+        flat = expand(symbols, self.alphabet, self.rules)
+        sizes = self.lengths[self.seq]
+        ends = np.cumsum(sizes)
+        starts = np.cumsum(self.lengths) - self.lengths
+        shift = starts[self.seq] - ends + sizes
+        return flat[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(shift, sizes)]
 
     def document(self, i: int, start: int = 0, stop: int | None = None) -> np.ndarray:
         """Ids start to stop of document ``i``; symbols outside of the range aren't expanded."""
