@@ -2,18 +2,24 @@
 
 Equal vectors of a label are one point. The points of a label are dealt into shards of bounded
 size, each with a hierarchical navigable small-world graph. Every point searches every shard of
-its label with a beam; a beam that ends among matches is widened for that point, and beams are
-widened for all until an audit against a scan of the shard finds enough of the links. A beam that
-would hold a quarter of the shard is replaced by a scan. Cosines of what is found are computed in
-double precision, links are counted where they are found, and only edges that hold components
-together leave the task.
+its label with a beam; a beam that ends among matches is widened for that point. How wide beams
+start is decided for each label by an audit: some of its points are compared with all others of
+the label by scans, and the narrowest beam that finds enough of all their links is taken. A beam
+that would hold a quarter of the shard is a scan.
+
+Two shards that search each other share a task, so a link that either search finds counts for both
+ends. Cosines of what is found are computed in double precision, links are counted where they are
+found, and only edges that hold components together leave the task.
+
+Defined results: see ``embedding_duplicates``; an empty table gives an empty result, and other
+columns are ignored whatever their names.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from casemill.llm.components import components
@@ -22,15 +28,15 @@ from casemill.session import staged
 
 THRESHOLD = 0.93
 SHARD_POINTS = 4_096
-#: Points whose searches of one shard share a task.
-BLOCK_POINTS = 8_192
 NEIGHBOURS = 16
 BUILD_BEAM = 48
-FIRST_BEAM = 32
+#: Beams that the audit tries, narrowest first.
+BEAMS = (32, 128, 512, 2048)
 #: Points searched together, and beam entries expanded in one step.
 TOGETHER = 256
 EXPANDED = 4
-AUDIT_POINTS = 128
+#: Points of a label that are audited against all of its shards.
+AUDIT_POINTS = 256
 TARGET_RECALL = 0.995
 
 _NONE = -1
@@ -212,44 +218,35 @@ def _scan(own, queries, threshold):
 
 
 def linked_points(
-    graph: Graph, own: np.ndarray, queries: np.ndarray, threshold: float, audit: np.ndarray
+    graph: Graph, own: np.ndarray, queries: np.ndarray, threshold: float, beam: int
 ) -> list[np.ndarray]:
-    """For each query the points of the shard with a cosine of at least the threshold.
+    """For each query the points of the shard that beams find with at least the threshold.
 
-    ``own`` and ``queries`` are unit vectors in double precision; ``audit`` are the queries whose
-    links are also found by a scan of the shard.
+    ``own`` and ``queries`` are unit vectors in double precision.
     """
     n = len(own)
-    truth = _scan(own, queries[audit], threshold)
-    total = int(truth.sum())
-    beam = FIRST_BEAM
-    while True:
-        found: list[np.ndarray] = [np.zeros(0, np.int64)] * len(queries)
-        open_rows = np.arange(len(queries))
-        wide = beam
-        while len(open_rows):
-            again = []
-            for first in range(0, len(open_rows), TOGETHER):
-                rows = open_rows[first : first + TOGETHER]
-                if 4 * wide >= n:
-                    hits = _scan(own, queries[rows], threshold)
-                    for r, hit in zip(rows, hits, strict=True):
-                        found[r] = np.flatnonzero(hit)
-                    continue
-                ids, score = graph.search(queries[rows].astype(np.float32), wide)
-                cosine = np.einsum("ad,akd->ak", queries[rows], own[ids])
-                hits = (cosine >= threshold) & (ids != _NONE)
-                # A beam whose last entries still match may have left others out.
-                short = (score[:, -1] >= threshold - 0.02) & (ids[:, -1] != _NONE)
-                for r, i, hit in zip(rows[~short], ids[~short], hits[~short], strict=True):
-                    found[r] = np.sort(i[hit])
-                again.append(rows[short])
-            open_rows = np.concatenate(again) if again else np.zeros(0, int)
-            wide *= 4
-        caught = sum(len(found[a]) for a in audit)
-        if caught >= TARGET_RECALL * total or 4 * beam >= n:
-            return found
+    found: list[np.ndarray] = [np.zeros(0, np.int64)] * len(queries)
+    open_rows = np.arange(len(queries))
+    while len(open_rows):
+        again = []
+        for first in range(0, len(open_rows), TOGETHER):
+            rows = open_rows[first : first + TOGETHER]
+            if 4 * beam >= n:
+                hits = _scan(own, queries[rows], threshold)
+                for r, hit in zip(rows, hits, strict=True):
+                    found[r] = np.flatnonzero(hit)
+                continue
+            ids, score = graph.search(queries[rows].astype(np.float32), beam)
+            cosine = np.einsum("ad,akd->ak", queries[rows], own[ids])
+            hits = (cosine >= threshold) & (ids != _NONE)
+            # A beam whose last entries still match may have left others out.
+            short = (score[:, -1] >= threshold - 0.02) & (ids[:, -1] != _NONE)
+            for r, i, hit in zip(rows[~short], ids[~short], hits[~short], strict=True):
+                found[r] = np.sort(i[hit])
+            again.append(rows[short])
+        open_rows = np.concatenate(again) if again else np.zeros(0, int)
         beam *= 4
+    return found
 
 
 def _unit(table: pa.Table) -> np.ndarray:
@@ -320,36 +317,97 @@ def _load(row: dict) -> tuple[Graph, np.ndarray, np.ndarray, np.ndarray]:
     return graph, ids, np.frombuffer(row["copies"], np.int64), x
 
 
-def _search_block(threshold: float):
-    def run(queries: pa.Table, graphs: pa.Table) -> pa.Table:
-        """Links of a block of points in one shard, and edges that span what they link."""
-        empty = np.zeros(0, np.int64)
-        if not len(queries) or not len(graphs):
-            return pa.table({"a": pa.array(empty), "b": pa.array(empty), "links": pa.array(empty)})
-        graph, ids, copies, own = _load(graphs.to_pylist()[0])
-        points = queries["point"].to_numpy()
-        order = np.argsort(mix(points.astype(np.uint64)))
-        found = linked_points(graph, own, _unit(queries), threshold, order[:AUDIT_POINTS])
-        root = np.arange(len(ids))
-        links = np.zeros(len(points), np.int64)
-        anchor = np.full(len(points), _NONE)
-        for q, hits in enumerate(found):
-            hits = hits[ids[hits] != points[q]]
-            if not len(hits):
-                continue
-            links[q] = copies[hits].sum()
+AUDIT_SCHEMA = "label long, width long, beam int, caught long, total long"
+
+
+def _audit(threshold: float):
+    def run(probes: pa.Table, graphs: pa.Table) -> pa.Table:
+        """What each beam finds of the audited points' links into one shard, and all of them."""
+        rows = []
+        if len(probes) and len(graphs):
+            row = graphs.to_pylist()[0]
+            graph, ids, _, own = _load(row)
+            queries, numbers = _unit(probes), probes["point"].to_numpy()
+            others = ids[None, :] != numbers[:, None]
+            total = int((_scan(own, queries, threshold) & others).sum())
+            for beam in BEAMS:
+                found = linked_points(graph, own, queries, threshold, beam)
+                caught = sum(int(others[q, hits].sum()) for q, hits in enumerate(found))
+                rows.append((row["label"], row["width"], beam, caught, total))
+        names = [f.split()[0] for f in AUDIT_SCHEMA.split(", ")]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+        columns = zip(*rows, strict=True) if rows else [[]] * len(names)
+        return pa.table(
+            {n: pa.array(c, k) for n, c, k in zip(names, columns, kinds, strict=True)}
+        )
+
+    return run
+
+
+def audited_beams(points: DataFrame, graphs: DataFrame, threshold: float) -> DataFrame:
+    """label, width and beam: the narrowest beam that finds ``TARGET_RECALL`` of the links of the
+    label's audited points, over all of its shards. Audited are the smallest hashes of the points.
+    """
+    order = Window.partitionBy("label", "width").orderBy(F.xxhash64(F.lit(5), "point"), "point")
+    chosen = (
+        points.withColumn("place", F.row_number().over(order))
+        .filter(F.col("place") <= AUDIT_POINTS)
+        .withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)))
+        .select("label", "width", "shard", "point", "embedding")
+    )
+    key = ["label", "width", "shard"]
+    counts = (
+        chosen.groupBy(key)
+        .cogroup(graphs.groupBy(key))
+        .applyInArrow(_audit(threshold), AUDIT_SCHEMA)
+        .groupBy("label", "width", "beam")
+        .agg(F.sum("caught").alias("caught"), F.sum("total").alias("total"))
+    )
+    enough = F.col("caught") >= F.lit(TARGET_RECALL) * F.col("total")
+    return counts.groupBy("label", "width").agg(
+        F.coalesce(F.min(F.when(enough, F.col("beam"))), F.max("beam")).alias("beam")
+    )
+
+
+def _search_pair(threshold: float):
+    def run(rows: pa.Table) -> pa.Table:
+        """Links between two shards, or within one, and edges that span what they link."""
+        shards = sorted(rows.to_pylist(), key=lambda r: r["shard"])
+        (left, a_ids, a_copies, a), (right, b_ids, b_copies, b) = _load(shards[0]), _load(shards[-1])
+        beam, alone = shards[0]["beam"], len(shards) == 1
+        linked = np.zeros((len(a), len(b)), bool)
+        for q, hits in enumerate(linked_points(right, b, a, threshold, beam)):
+            linked[q, hits] = True
+        if alone:
+            linked |= linked.T
+            np.fill_diagonal(linked, False)
+        else:
+            for q, hits in enumerate(linked_points(left, a, b, threshold, beam)):
+                linked[hits, q] = True
+        counts = [(a_ids, linked @ b_copies)]
+        if not alone:
+            counts.append((b_ids, linked.T @ a_copies))
+        links = np.concatenate([n for _, n in counts])
+        points = np.concatenate([i for i, _ in counts])
+        # Each row hangs on the first of its links, and what later rows share is joined through it.
+        root = np.arange(len(b))
+        anchor = np.full(len(a), _NONE)
+        for q in np.flatnonzero(linked.any(1)):
+            hits = np.flatnonzero(linked[q])
             roots = root[hits]
             least = roots.min()
             if (roots != least).any():
                 root[np.isin(root, roots)] = least
             anchor[q] = hits[0]
-        some = links > 0
-        member = np.flatnonzero(root != np.arange(len(ids)))
-        a = np.concatenate([points[some], points[some], ids[member]])
-        b = np.concatenate([np.zeros(int(some.sum()), np.int64), ids[anchor[some]], ids[root[member]]])
-        n = np.concatenate([links[some], np.zeros(int(some.sum()) + len(member), np.int64)])
+        some, member = links > 0, np.flatnonzero(root != np.arange(len(b)))
+        hung = np.flatnonzero(anchor != _NONE)
+        out_a = np.concatenate([points[some], a_ids[hung], b_ids[member]])
+        out_b = np.concatenate(
+            [np.zeros(int(some.sum()), np.int64), b_ids[anchor[hung]], b_ids[root[member]]]
+        )
+        n = np.concatenate([links[some], np.zeros(len(hung) + len(member), np.int64)])
         return pa.table(
-            {"a": pa.array(a), "b": pa.array(b, mask=n > 0), "links": pa.array(n)}
+            {"a": pa.array(out_a), "b": pa.array(out_b, mask=n > 0), "links": pa.array(n)}
         )
 
     return run
@@ -362,7 +420,8 @@ def embedding_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> Da
     (smallest vec_id reachable, itself included) and kept (vec_id = component_id). A null label
     or vec_id, and a vector that is null, empty, zero or holds null or non-finite components,
     links with nothing; so do vectors of different lengths. Rows that repeat a vector are linked
-    with each other and count each.
+    with each other and count each; rows that repeat a vec_id with other vectors are vectors of their
+    own.
     """
     ship(vectors.sparkSession)
     number = F.col("vec_id").cast("long")
@@ -382,24 +441,23 @@ def embedding_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> Da
         F.xxhash64(F.lit(1), values).alias("k2"),
     )
     same = ["label", "width", "k1", "k2"]
+    usable = rows.filter("usable")
     groups = staged(
-        rows.filter("usable")
-        .groupBy(same)
-        .agg(F.min("vec_id").alias("point"), F.count("*").alias("copies")),
+        usable.groupBy(same)
+        .agg(
+            F.min("vec_id").alias("least"),
+            F.count("*").alias("copies"),
+            F.first("embedding").alias("embedding"),
+        )
+        .withColumn("point", F.monotonically_increasing_id()),
         "vector-groups",
     )
     sizes = groups.groupBy("label", "width").agg(F.count("*").alias("points"))
     points = (
-        rows.filter("usable")
-        .join(groups, same)
-        .filter("vec_id = point")
-        .dropDuplicates(["point"])
-        .join(sizes, ["label", "width"])
+        groups.join(sizes, ["label", "width"])
         .withColumn("shards", F.ceil(F.col("points") / SHARD_POINTS).cast("long"))
-        .withColumn("blocks", F.ceil(F.col("points") / BLOCK_POINTS).cast("long"))
         .withColumn("shard", F.pmod(F.xxhash64("point"), "shards"))
-        .withColumn("block", F.pmod(F.xxhash64(F.lit(5), "point"), "blocks"))
-        .select("label", "width", "point", "copies", "embedding", "shards", "blocks", "shard", "block")
+        .select("label", "width", "point", "copies", "embedding", "shards", "shard")
     )
     points = staged(points, "points")
     graphs = staged(
@@ -408,29 +466,37 @@ def embedding_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> Da
         .applyInArrow(_build, GRAPH_SCHEMA),
         "graphs",
     )
-    counts = sizes.withColumn("blocks", F.ceil(F.col("points") / BLOCK_POINTS).cast("long"))
-    zero = F.lit(0).cast("long")
-    key = ["label", "width", "shard", "block"]
-    dealt = graphs.join(counts.select("label", "width", "blocks"), ["label", "width"]).withColumn(
-        "block", F.explode(F.sequence(zero, F.col("blocks") - 1))
+    beams = audited_beams(points, graphs, threshold)
+    spread = sizes.select(
+        "label", "width", F.ceil(F.col("points") / SHARD_POINTS).cast("long").alias("shards")
+    )
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1))
+    pairs = (
+        graphs.join(spread, ["label", "width"])
+        .join(beams, ["label", "width"])
+        .withColumn("other", other)
+        .withColumn("low", F.least("shard", "other"))
+        .withColumn("high", F.greatest("shard", "other"))
+        .drop("shards", "other")
     )
-    asked = points.withColumn(
-        "shard", F.explode(F.sequence(zero, F.col("shards") - 1))
-    ).select(*key, "point", "embedding")
     found = staged(
-        asked.groupBy(key)
-        .cogroup(dealt.drop("blocks").groupBy(key))
-        .applyInArrow(_search_block(threshold), FOUND_SCHEMA),
+        pairs.groupBy("label", "width", "low", "high").applyInArrow(
+            _search_pair(threshold), FOUND_SCHEMA
+        ),
         "found",
     )
     links = found.filter("b IS NULL").groupBy("a").agg(F.sum("links").alias("others"))
     linked = components(found.filter("b IS NOT NULL").select("a", "b"))
+    known = groups.select("point", "least").join(linked, groups.point == linked.node)
+    first = known.groupBy("component").agg(F.min("least").alias("first"))
+    reached = known.select("point", "component").join(first, "component").select("point", "first")
     by_group = (
-        groups.join(links, groups.point == links.a, "left")
-        .join(linked, groups.point == linked.node, "left")
-        .select(*same, "point", "copies", "others", "component")
+        groups.drop("embedding")
+        .join(links, groups.point == links.a, "left")
+        .join(reached, "point", "left")
+        .select(*same, "least", "copies", "others", "first")
     )
-    in_group = F.col("point").isNotNull()
+    in_group = F.col("least").isNotNull()
     return (
         rows.select("vec_id", "usable", *same)
         .withColumn("label", F.when(F.col("usable"), F.col("label")))
@@ -441,7 +507,7 @@ def embedding_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> Da
             .otherwise(0)
             .cast("long")
             .alias("n_links"),
-            F.when(in_group, F.coalesce("component", "point"))
+            F.when(in_group, F.coalesce("first", "least"))
             .otherwise(F.col("vec_id"))
             .alias("component_id"),
         )

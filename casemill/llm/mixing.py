@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from casemill.llm.shared import free_name
 from casemill.session import staged
 
 #: Weights of the sources in code point order, repeated.
@@ -229,23 +230,28 @@ def mix_sources(docs: DataFrame, seed: int = SEED) -> DataFrame:
 
 
 def mixed(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """The mix itself: each row of ``docs`` as often as the mix takes it, columns as they are."""
-    passes = (
+    """The mix itself: each row of ``docs`` as often as the mix takes it.
+
+    The columns stay as they are, whatever their names; an empty table stays empty.
+    """
+    names = ("mix_id", "mix_draw", "mix_passes", "mix_row", "mix_pass")
+    own, draw, passes, row, turn = (free_name(docs, n) for n in names)
+    key = [own, draw]
+    taken = (
         mix_sources(docs, seed)
-        .groupBy(F.coalesce("doc_id", F.lit(-1)).alias("mix__id"), F.col("draw").alias("mix__draw"))
-        .agg(F.sum("passes").alias("mix__passes"))
-        .filter("mix__passes > 0")
+        .groupBy(F.coalesce("doc_id", F.lit(-1)).alias(own), F.col("draw").alias(draw))
+        .agg(F.sum("passes").alias(passes))
+        .filter(F.col(passes) > 0)
     )
-    key = ["mix__id", "mix__draw"]
     columns = [F.col(f"`{c}`") for c in docs.columns]
     return (
         docs.withColumns(
-            {"mix__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), "mix__draw": _draw(seed)}
+            {own: F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), draw: _draw(seed)}
         )
-        .join(passes, key)
+        .join(taken, key)
         # Rows that are equal in id and text share their passes.
-        .withColumn("mix__row", F.row_number().over(Window.partitionBy(key).orderBy("mix__draw")))
-        .filter("mix__row = 1")
-        .withColumn("mix__pass", F.explode(F.sequence(F.lit(1).cast("long"), "mix__passes")))
+        .withColumn(row, F.row_number().over(Window.partitionBy(key).orderBy(draw)))
+        .filter(F.col(row) == 1)
+        .withColumn(turn, F.explode(F.sequence(F.lit(1).cast("long"), passes)))
         .select(*columns)
     )

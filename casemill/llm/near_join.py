@@ -26,6 +26,7 @@ from casemill.llm.components import components, spanning
 from casemill.llm.shared import (
     WORD_BASE,
     byte_slices,
+    free_name,
     mix,
     shingle_hashes,
     ship,
@@ -431,21 +432,22 @@ def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one document of each group of near duplicates, the one of smallest doc_id.
 
     Rows that repeat a doc_id are one document, of which the smallest text stays; rows without
-    doc_id stay all. The columns stay as they are.
+    doc_id stay all. The columns stay as they are, whatever their names; an empty table stays empty.
     """
+    kept_id, row = free_name(docs, "kept_id"), free_name(docs, "kept_row")
     kept = (
         near_duplicates(docs, **options)
         .filter("kept AND doc_id IS NOT NULL")
-        .select(F.col("doc_id").alias("kept_id"))
+        .select(F.col("doc_id").alias(kept_id))
         .distinct()
     )
     first = Window.partitionBy("doc_id").orderBy("text")
     columns = [F.col(f"`{c}`") for c in docs.columns]
     rows = (
         docs.filter("doc_id IS NOT NULL")
-        .join(kept, F.col("doc_id").cast("long") == F.col("kept_id"), "left_semi")
-        .withColumn("kept__row", F.row_number().over(first))
-        .filter("kept__row = 1")
+        .join(kept, F.col("doc_id").cast("long") == F.col(kept_id), "left_semi")
+        .withColumn(row, F.row_number().over(first))
+        .filter(F.col(row) == 1)
         .select(*columns)
     )
     return rows.unionByName(docs.filter("doc_id IS NULL"))

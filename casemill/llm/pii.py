@@ -28,7 +28,9 @@ LEAST_SCORE = 0.6
 # The patterns of the kinds.
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
-_IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
+# A match can only begin where digits begin: were there one from a later digit of the same run,
+# there would be one from the first. So a long run of digits is looked at once.
+_IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?:\x20?[A-Z0-9]{4}){2})")
@@ -89,6 +91,11 @@ def mod_97(account: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
+def _at_most_255(digits: str) -> bool:
+    value = digits.lstrip("0")
+    return len(value) <= 3 and int(value or "0") <= 255
+
+
 def _digits(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
@@ -115,7 +122,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     if not any(c in text for c in "0123456789"):
         return spans
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+        if all(_at_most_255(p) for p in m.group().split(".")):
             spans.append(("ip", m.start(), m.end()))
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 12:

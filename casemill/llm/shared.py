@@ -39,6 +39,14 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def free_name(df: DataFrame, stem: str) -> str:
+    """A column name that ``df`` doesn't have, in any letter case."""
+    taken = {c.lower() for c in df.columns}
+    while stem in taken:
+        stem += "_"
+    return stem
+
+
 def id_column(docs: DataFrame) -> Column:
     """doc_id as a long. Without a needless cast, so that two uses of one exchange stay equal."""
     column = F.col("doc_id")

@@ -72,15 +72,35 @@ def clustered(seed, n, width=16, labels=2):
 
 def test_links_and_components(spark, monkeypatch):
     monkeypatch.setattr("casemill.llm.embedding_dedup.SHARD_POINTS", 150)
-    monkeypatch.setattr("casemill.llm.embedding_dedup.BLOCK_POINTS", 100)
     rows = clustered(1, 500)
     rows += [(1000 + i, rows[3][1], rows[3][2]) for i in range(40)]
+    rows += [(i, rows[i + 7][1], rows[i][2]) for i in range(20)]  # a vec_id with another vector
     out = result(embedding_duplicates(spark.createDataFrame(rows, SCHEMA)))
     want = brute(rows)
     assert sum(r[1] for r in out) >= 0.99 * sum(r[1] for r in want)
     assert sum(a != b for a, b in zip(out, want, strict=True)) <= 5
 
 
+def test_repeated_ids_keep_every_vector(spark):
+    """The second vector of vec_id 1 is the one that vec_id 3 links with."""
+    rows = [(1, [1.0, 0.0], 0), (1, [0.0, 1.0], 0), (3, [0.05, 1.0], 0), (1, [0.0, 1.0], 1)]
+    out = result(embedding_duplicates(spark.createDataFrame(rows, SCHEMA)))
+    assert out == brute(rows)
+    assert (3, 1, 1, False) in out
+
+
+def test_links_count_for_both_ends(spark, monkeypatch):
+    """Counts add up: over all rows, what one end counts the other counts as well."""
+    monkeypatch.setattr("casemill.llm.embedding_dedup.SHARD_POINTS", 60)
+    monkeypatch.setattr("casemill.llm.embedding_dedup.BEAMS", (2,))
+    rows = clustered(5, 400, labels=1)
+    out = embedding_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    found = {r.vec_id: r.n_links for r in out}
+    want = {r[0]: r[1] for r in brute(rows)}
+    assert all(found[k] <= want[k] for k in want)
+    assert sum(found.values()) % 2 == 0
+
+
 def test_awkward_vectors(spark):
     v = [1.0, 2.0, 3.0]
     rows = [
@@ -108,6 +128,6 @@ def test_graph_search_recall(seed):
     true = [set(np.flatnonzero(r >= 0.93)) for r in x @ x.T]
     caught = sum(len(t & set(i)) for t, i in zip(true, ids, strict=True))
     assert caught >= 0.98 * sum(map(len, true))
-    found = linked_points(graph, x, x, 0.93, np.arange(100))
+    found = linked_points(graph, x, x, 0.93, 32)
     assert sum(map(len, found)) >= 0.98 * sum(map(len, true))
     assert all(set(f) <= t for f, t in zip(found, true, strict=True))
