@@ -30,6 +30,8 @@ WINDOW = 50
 GRAM = 24
 #: Bits of a place within a slice of texts, and of an anchor's number within a batch.
 PLACE_BITS = 28
+#: A longer text is looked at in parts, which overlap by a window.
+LONGEST_PART = 1 << 27
 NUMBER_BITS = 24
 #: Anchors of a batch after which it is sent off, below two to the NUMBER_BITS by one slice.
 BATCH_ANCHORS = 1 << 20
@@ -57,7 +59,17 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray):
-    """Runs of windows with one anchor: hash of the anchor, document, first window, windows."""
+    """Runs of windows with one anchor: hash of the anchor, document, first window, windows.
+
+    A slice longer than ``LONGEST_PART`` is one text; a run that crosses two of its parts is two.
+    """
+    if len(data) > LONGEST_PART:
+        parts = []
+        for start in range(0, len(data) - WINDOW + 1, LONGEST_PART - WINDOW + 1):
+            part = data[start : start + LONGEST_PART]
+            hashes, owner, first, n = anchors(part, np.array([0, len(part)]))
+            parts.append((hashes, owner, first + start, n))
+        return tuple(np.concatenate(c) for c in zip(*parts, strict=True))
     span = WINDOW - GRAM + 1
     empty = np.zeros(0, np.uint64), _NO_DATA, _NO_DATA, _NO_DATA
     if len(data) < WINDOW:

@@ -8,8 +8,8 @@ import zlib
 import numpy as np
 import pytest
 
-from casemill.llm import language
-from casemill.llm.language import Field, fit, languages, marginals
+from casemill.llm import language, quality
+from casemill.llm.language import Field, fit, languages, learnt_field, marginals
 from casemill.llm.quality import STATISTICS, document_statistics, isotonic, quality_scores, statistics
 from tests.llm.helpers import awkward_rows, frame, row, with_clashing_columns, words
 
@@ -127,3 +127,67 @@ def test_language_of_awkward_rows(spark):
 def test_field_without_words():
     field = Field(["a", "b"])
     assert field.documents(np.zeros(0, np.uint8), np.array([0, 0, 0])).shape == (2, 2)
+
+
+def test_quality_scores_against_dense_equations(spark):
+    """The same model from one dense matrix: features, ridge, and pooled rates by their min-max form."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    got = {r.doc_id: r.score for r in quality_scores(docs.repartition(7), labels).collect()}
+    x = {r.doc_id: np.array(r.statistics) for r in document_statistics(docs).collect()}
+    known = [(r.doc_id, r.quality) for r in labels.collect()
+             if r.doc_id in x and zlib.crc32(str(r.doc_id).encode()) % 5 != 0]
+    rows = np.array([x[i] for i, _ in known])
+    y = np.array([q for _, q in known], float)
+
+    rng = np.random.default_rng(quality.SEED)
+    weights = rng.normal(size=(rows.shape[1], quality.FEATURES)) / np.sqrt(rows.shape[1])
+    phase = rng.uniform(0, 2 * np.pi, quality.FEATURES)
+
+    def features(v):
+        z = np.clip((v - rows.mean(0)) / np.maximum(rows.std(0), 1e-6), -8, 8)
+        waves = np.cos(z @ weights + phase) * np.sqrt(2 / quality.FEATURES)
+        return np.hstack([waves, np.ones((len(v), 1))])
+
+    z = features(rows)
+    ridge = quality.RIDGE * len(y) / quality.FEATURES * np.diag([1.0] * quality.FEATURES + [0.0])
+    solution = np.linalg.lstsq(z.T @ z + ridge, z.T @ y, rcond=None)[0]
+    raw = z @ solution
+
+    def steps(v):
+        part = (v - raw.min()) / max(raw.max() - raw.min(), 1e-9) * quality.STEPS
+        return np.clip(part, 0, quality.STEPS - 1).astype(int)
+
+    n = np.bincount(steps(raw), minlength=quality.STEPS)
+    ones = np.bincount(steps(raw), weights=y, minlength=quality.STEPS)
+    used = np.flatnonzero(n)
+    sums, sizes = np.append(0, np.cumsum(ones[used])), np.append(0, np.cumsum(n[used]))
+    rates = [
+        max(min((sums[b + 1] - sums[a]) / (sizes[b + 1] - sizes[a]) for b in range(k, len(used)))
+            for a in range(k + 1))
+        for k in range(len(used))
+    ]
+    rate = np.interp(np.arange(quality.STEPS), used, rates)
+    ids = sorted(x)
+    want = rate[steps(features(np.array([x[i] for i in ids])) @ solution)]
+    off = np.abs(want - [got[i] for i in ids]) > 1e-6
+    assert off.mean() <= 0.01  # a raw score on the edge of a step may round to either side
+
+
+def test_languages_of_documents_are_means_over_their_words(spark):
+    """A document's shares from its own words alone, ties to the first language in order."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    field = learnt_field(docs)
+    out = {r.doc_id: r for r in languages(docs).collect()}
+    for r in docs.limit(150).collect():
+        raw = (r.text or "").encode()
+        if not any(c.isalpha() for c in r.text or ""):
+            continue
+        share, _ = field.words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        mean = share.mean(axis=0)
+        assert out[r.doc_id].lang_pred == field.languages[int(mean.argmax())]
+        assert out[r.doc_id].score == pytest.approx(float(mean.max()), abs=1e-5)
+    flat = Field(["de", "en"])
+    raw = b"abc def"
+    share = flat.documents(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+    assert share[0, 0] == share[0, 1] and flat.languages[share.argmax()] == "de"

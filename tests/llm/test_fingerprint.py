@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
+import struct
 
 import pytest
+import xxhash
 
-from casemill.llm.fingerprint import BINS, fingerprints
+from casemill.llm.fingerprint import BIN_BITS, BINS, WIDTH, _donors, fingerprints
 from tests.llm.helpers import awkward_rows, frame, row, with_clashing_columns, words
 from tests.conftest import plan_of
 
@@ -73,3 +76,36 @@ def test_single_and_no_documents(spark):
 def test_plan_has_no_python(spark):
     plan = plan_of(fingerprints(frame(spark)))
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
+
+
+def test_bins_and_donors_against_plain_python(spark):
+    """Bins by the high bits, the smallest hash of each, donors in fixed order, then low bits."""
+
+    def signed(x):
+        return x - (1 << 64) if x >> 63 else x
+
+    def chained(parts, seed=42):
+        for part in parts:
+            seed = xxhash.xxh64_intdigest(part, seed)
+        return signed(seed)
+
+    def plain(text):
+        w = [x for x in re.split(r"[\x20\x09-\x0D]+", text.lower()) if x]
+        if not w:
+            return ""
+        runs = [w[i : i + WIDTH] for i in range(len(w) - WIDTH + 1)] if len(w) >= WIDTH else [w]
+        held = {}
+        for h in (chained([x.encode() for x in run]) for run in runs):
+            place = (h >> (64 - BIN_BITS)) + BINS // 2
+            held[place] = min(h, held.get(place, h))
+        out = []
+        for i in range(BINS):
+            tried = [held[d] for d in _donors()[i] if d in held]
+            nearest = min((chained([struct.pack("<i", b), struct.pack("<i", i)]), h) for b, h in held.items())
+            out.append(held.get(i, tried[0] if tried else nearest[1]) & 255)
+        return bytes(out).hex()
+
+    rows = [r for r in awkward_rows() if r[0] not in (12, 16)] + [row(70, words(70, 900))]
+    out = {r.doc_id: r.fingerprint for r in fingerprints(frame(spark, rows)).collect()}
+    for doc_id, text, *_ in rows:
+        assert out[doc_id] == plain(text or ""), doc_id

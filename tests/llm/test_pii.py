@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 from casemill.llm.pii import (
     base_spans,
@@ -110,3 +111,25 @@ def test_account_numbers_before_and_after_other_capitals():
     assert found == accounts
     # Part of a longer word is no end of an account.
     assert not [s for s in find_spans("IBAN AT611904300234573201x") if s[0] == "iban"]
+
+
+def test_a_million_digits_take_one_pass():
+    """Long runs of digits, also with dots that never make an address, and numbers of zeros."""
+    for text in ("7" * 1_000_000, "1." * 300_000, "9" * 400_000 + ".1.2", "1.2." + "0" * 500_000 + ".4",
+                 "+" + "1 " * 300_000, "a" * 500_000 + "@", "AB12" * 200_000):
+        started = time.perf_counter()
+        found = base_spans(text)
+        find_spans(text)
+        assert time.perf_counter() - started < 20
+        assert not [s for s in found if s[0] == "ip"] or text.startswith(("1.2.", "1.1."))
+    zeros = "1.2." + "0" * 5000 + ".4"
+    assert base_spans(zeros)[0] == ("ip", 0, len(zeros))
+
+
+def test_addresses_after_failed_starts():
+    rng = random.Random(8)
+    for _ in range(3000):
+        text = "".join(rng.choices("0129.. ", k=rng.randint(0, 30)))
+        want = [("ip", m.start(), m.end()) for m in re.finditer(PLAIN["ip"], text)
+                if all(int(p) <= 255 for p in m.group().split("."))]
+        assert [s for s in base_spans(text) if s[0] == "ip"] == want, text

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -73,3 +74,21 @@ def test_mix_repeats_equal_rows(spark):
 @pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
 def test_empty_input(spark, name):
     assert dict(corpus_pipeline.STAGES)[name](spark, frame(spark, []), "").count() == 0
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_extra_columns_named_like_inner_ones(spark, name):
+    """A stage gives the same rows whatever other columns are called, and carries them along."""
+    rows = [r for r in awkward_rows() if r[0] != 16] + [row(20 + i, words(i % 3, 30)) for i in range(6)]
+    docs, stage = frame(spark, rows), dict(corpus_pipeline.STAGES)[name]
+    extra = ["kept_id", "Kept_Row", "kept", "mix_id", "mix_draw", "mix_passes", "mix_row", "mix_pass",
+             "mix__id", "mix__passes", "rep", "component", "class_id", "size", "passes", "draw", "d",
+             "k", "spans", "lang_pred", "score", "held_out", "piece", "lot", "h1", "ids"]
+    clashing = docs.select("*", *[F.lit(n).alias(n) for n in extra])
+    plain, out = stage(spark, docs, ""), stage(spark, clashing, "")
+    if name == "pack":
+        assert out.columns == plain.columns and out.count() == plain.count()
+        return
+    assert out.columns == clashing.columns
+    assert rows_of(out.select(*docs.columns)) == rows_of(plain)
+    assert out.filter("kept_id <> 'kept_id' OR mix_pass <> 'mix_pass'").count() == 0

@@ -109,3 +109,22 @@ def test_empty(spark):
     assert remove_repeats(frame(spark, [])).count() == 0
     rows = [row(1, None), row(2, "")]
     assert result(spark, rows) == brute(rows)
+
+
+def test_a_text_in_parts_has_the_same_anchors(monkeypatch):
+    """Every window keeps its anchor; only runs may be cut."""
+    from casemill.llm import suffix_dedup
+
+    data = np.frombuffer((words(3, 300) + words(4, 40) * 5).encode(), np.uint8)
+    bounds = np.array([0, len(data)])
+
+    def windows():
+        hashes, owner, first, n = suffix_dedup.anchors(data, bounds)
+        assert (owner == 0).all()
+        return [(f + i, h) for h, f, m in zip(hashes, first, n, strict=True) for i in range(m)]
+
+    whole = windows()
+    assert len(whole) == len(data) - suffix_dedup.WINDOW + 1
+    for part in (50, 51, 97, 1000):
+        monkeypatch.setattr(suffix_dedup, "LONGEST_PART", part)
+        assert windows() == whole
