@@ -44,6 +44,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
         ("register", "add or replace domains and seed the cases that lack a status row"),
         ("sample", "draw the stratified sample"),
         ("evaluate", "measure an engine on the stratified sample"),
+        ("difference", "cases or status rows that changed since a tagged state"),
     ]:
         job = jobs.add_parser(name, help=text)
         job.add_argument("--store", required=True, help="root folder of the tables")
@@ -58,10 +59,13 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
         job.add_argument("--splittable", action="store_true", help="no line breaks inside fields")
         job.add_argument("--keyword-filter", action="store_true")
         job.add_argument("--seed", type=int, default=0)
+        job.add_argument("--since", help="tag of the earlier state")
+        job.add_argument("--until", help="tag of the later state; the latest if absent")
     args = parser.parse_args(argv)
     needs = {
         "run": ["source"], "progress": ["period"], "export": ["period", "out"],
         "reset": ["period"], "purge": ["period"], "sample": ["out"], "evaluate": ["out"],
+        "difference": ["since", "out"],
     }
     missing = [f"--{n}" for n in needs.get(args.job, []) if not getattr(args, n)]
     if missing:
@@ -139,6 +143,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         cycle.purge_store(store, args.period, named)
         return
 
+    if args.job == "difference":
+        cases, status = cycle.tagged_difference(store, args.since, args.until)
+        write_delimited(cases, f"{args.out}/cases", separator=",")
+        write_delimited(status, f"{args.out}/status", separator=",")
+        return
+
     cases, status = cycle.read_cases(store).drop(cycle.LOAD), cycle.read_status(store)
     if args.domain:
         status = status.filter(status.domain == args.domain)

@@ -12,6 +12,7 @@ whole master table. Reset and purge rewrite the folders that hold affected rows
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -43,7 +44,14 @@ from casemill.schema import STATUS, TAXONOMY
 from casemill.sources.delimited import LOAD_ORDER, RAGGED, read_export
 from casemill.sources.keys import KEYS, MOST_PARTS, key_buckets, stored_keys, write_keys
 from casemill.sources.ledger import LEDGER, changed_sources, list_sources
-from casemill.sources.store import PART, Part, Store, part_token, write_snapshot
+from casemill.sources.store import (
+    PART,
+    Part,
+    Store,
+    part_token,
+    table_difference,
+    write_snapshot,
+)
 
 PENDING, DONE, CASES, DOMAINS = "status_pending", "status_done", "cases", "domains"
 LEFT = "left_status"
@@ -58,7 +66,8 @@ NO_CASES = f"case_id string, subject string, entry_date string, register_date st
 class LoadCounts:
     """processed = inserted + existing + rejected; ``ragged`` rows are among them.
 
-    ``kept`` counts status rows that inserted cases had already, left by a partial purge.
+    ``kept`` counts status rows that inserted cases had already, left by a partial purge;
+    ``seconds`` is the time until the commit.
     """
 
     processed: int
@@ -67,6 +76,11 @@ class LoadCounts:
     rejected: int
     ragged: int
     kept: int = 0
+    seconds: float = field(default=0.0, compare=False)
+
+    @property
+    def rows_per_second(self) -> float:
+        return round(self.processed / self.seconds, 1) if self.seconds else 0.0
 
 
 @dataclass(frozen=True)
@@ -135,6 +149,7 @@ def load_rows(
     status row that a partial purge has left stays as it is. ``sources`` are ledger rows to record
     with the batch.
     """
+    started = time.monotonic()
     register_domains(store, domains)
     names = [d.name for d in registered_domains(store)]
     tagged, totals = _observed(
@@ -183,6 +198,7 @@ def load_rows(
         rejected=counts["rejected"],
         ragged=counts["ragged"],
         kept=n_inserted * len(names) - seeded.get["n"],
+        seconds=round(time.monotonic() - started, 3),
     )
 
 
@@ -346,6 +362,28 @@ def _left_status(
     return ({LEFT: part} if watch.get["n"] else {}), noted
 
 
+def tagged_difference(
+    store: Store, since: str, until: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """What two tagged states differ in, as changed cases and changed status rows.
+
+    Without ``until`` the latest tag is taken. The load of a row doesn't count.
+    """
+    until = until or store.latest_tag()
+    if until is None:
+        raise ValueError("the store has no tag")
+
+    def status(stamp: str) -> DataFrame:
+        parts = [store.read_tag(stamp, n, STORED_STATUS).drop(LOAD) for n in (PENDING, DONE)]
+        return parts[0].unionByName(parts[1])
+
+    cases = [store.read_tag(stamp, CASES, NO_CASES).drop(LOAD) for stamp in (since, until)]
+    return (
+        table_difference(cases[0], cases[1], "case_id"),
+        table_difference(status(since), status(until), ["domain", "case_id"]),
+    )
+
+
 def run_cycle(
     spark: SparkSession,
     source: str,

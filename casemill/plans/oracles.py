@@ -254,8 +254,8 @@ quotas(domain, category, quota) AS (
   VALUES ('licence', 'GNU General Public License', 5), ('licence', 'MIT License', 5),
          ('licence', 'Apache License', 5), ('contact', 'Email', 4), ('contact', 'Phone', 4),
          ('abusive_words', 'Insult', 12), ('abusive_words', 'Contempt', 12),
-         ('language', 'English', 35), ('language', 'German', 35), ('language', 'Spanish', 23),
-         ('language', 'French', 47)
+         ('language', 'English', 30), ('language', 'German', 26), ('language', 'Spanish', 18),
+         ('language', 'French', 40)
 ),
 drawn AS (
   SELECT o.case_id, o.domain, o.category, o.method, c.subject, q.quota,

@@ -31,10 +31,10 @@ QUOTAS = {
     ("contact", "Phone"): 4,
     ("abusive_words", "Insult"): 12,
     ("abusive_words", "Contempt"): 12,
-    ("language", "English"): 35,
-    ("language", "German"): 35,
-    ("language", "Spanish"): 23,
-    ("language", "French"): 47,
+    ("language", "English"): 30,
+    ("language", "German"): 26,
+    ("language", "Spanish"): 18,
+    ("language", "French"): 40,
 }
 SEED = 7
 

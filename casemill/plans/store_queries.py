@@ -16,7 +16,6 @@ from casemill.operators.taxonomy import taxonomy_frame
 from casemill.plans import bindings as b
 from casemill.plans import cycle
 from casemill.plans.queries import LINE_ORDER, MONTH, MONTHS
-from casemill.schema import STATUS
 from casemill.session import staging_path
 from casemill.sources.delimited import (
     LOAD_ORDER,
@@ -27,7 +26,7 @@ from casemill.sources.delimited import (
     write_rows,
 )
 from casemill.sources.ledger import LEDGER, changed_sources, list_rows
-from casemill.sources.store import Store, table_difference
+from casemill.sources.store import Store
 from casemill.streaming.intake import start_intake
 
 #: Canonical columns and the headers that an export has for them.
@@ -40,7 +39,7 @@ HEADERS = {
 CASE_COLUMNS = list(HEADERS)
 
 
-def _store(spark: SparkSession) -> Store:
+def new_store(spark: SparkSession) -> Store:
     return Store(spark, staging_path(spark, "store"))
 
 
@@ -51,7 +50,7 @@ def _batch(rows: DataFrame, *order: Column) -> DataFrame:
     )
 
 
-def _load(store: Store, rows: DataFrame) -> cycle.LoadCounts:
+def load_cases(store: Store, rows: DataFrame) -> cycle.LoadCounts:
     return cycle.load_rows(store, _batch(rows, F.col("case_id")), b.DOMAINS)
 
 
@@ -61,28 +60,28 @@ def _closed(cases: DataFrame) -> DataFrame:
 
 def whole_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load closed orders, classify one domain, reset a month, purge some, reload all."""
-    store, cases = _store(spark), b.cases(spark, sf_dir)
-    _load(store, _closed(cases))
+    store, cases = new_store(spark), b.cases(spark, sf_dir)
+    load_cases(store, _closed(cases))
     cycle.classify_store(store, [d for d in b.DOMAINS if d.name == "contact"], b.RULES)
     cycle.reset_store(store, MONTH)
     cycle.purge_store(store, MONTHS)
-    _load(store, cases)
+    load_cases(store, cases)
     return cycle.read_status(store)
 
 
 def reseed_after_partial_purge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A purge of two domains, then all orders again: those two are seeded anew only."""
-    store, cases = _store(spark), b.cases(spark, sf_dir)
-    _load(store, _closed(cases))
+    store, cases = new_store(spark), b.cases(spark, sf_dir)
+    load_cases(store, _closed(cases))
     cycle.classify_store(store, b.DOMAINS, b.RULES)
     cycle.purge_store(store, MONTHS, b.DOMAIN_NAMES[:2])
-    _load(store, cases)
+    load_cases(store, cases)
     return cycle.read_status(store)
 
 
 def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S5, S6 on stored tables: the counts of three loads, the last of order lines."""
-    store, cases = _store(spark), b.cases(spark, sf_dir)
+    store, cases = new_store(spark), b.cases(spark, sf_dir)
     lines = b.table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").cast("string").alias("case_id"),
         F.col("l_returnflag").alias("subject"),
@@ -91,8 +90,8 @@ def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         *LINE_ORDER,
     )
     loads = [
-        _load(store, cases.filter("order_status = 'F'")),
-        _load(store, _closed(cases)),
+        load_cases(store, cases.filter("order_status = 'F'")),
+        load_cases(store, _closed(cases)),
         cycle.load_rows(store, _batch(lines, *map(F.col, LINE_ORDER)), b.DOMAINS),
     ]
     return spark.createDataFrame(
@@ -111,7 +110,7 @@ def streamed_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The stream takes two files a batch and is started anew each time.
     """
-    store, cases = _store(spark), b.cases(spark, sf_dir, register_date=False)
+    store, cases = new_store(spark), b.cases(spark, sf_dir, register_date=False)
     cases = cases.withColumn("register_date", F.lit(None).cast("string"))
     landing, checkpoint = staging_path(spark, "landing"), staging_path(spark, "stream")
 
@@ -131,21 +130,17 @@ def streamed_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def snapshot_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status rows added, changed and removed between the first and the latest tag."""
-    store, cases = _store(spark), b.cases(spark, sf_dir)
-    _load(store, _closed(cases))
+    store, cases = new_store(spark), b.cases(spark, sf_dir)
+    load_cases(store, _closed(cases))
     cycle.classify_store(store, [d for d in b.DOMAINS if d.name == "contact"], b.RULES)
     store.tag("20260101_000000")
     first = store.latest_tag()
     cycle.reset_store(store, MONTH)
     cycle.purge_store(store, MONTHS)
-    _load(store, cases.filter("order_status = 'O'"))
+    load_cases(store, cases.filter("order_status = 'O'"))
     store.tag("20260102_000000")
 
-    def state(stamp: str) -> DataFrame:
-        parts = [store.read_tag(stamp, n) for n in (cycle.PENDING, cycle.DONE)]
-        return parts[0].unionByName(parts[1]).select(STATUS.fieldNames())
-
-    return table_difference(state(first), state(store.latest_tag()), ["domain", "case_id"])
+    return cycle.tagged_difference(store, first)[1]
 
 
 def delimited_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,7 +176,7 @@ def delimited_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def changed_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tables whose rows changed since a ledger was kept, when only closed orders existed."""
-    store = _store(spark)
+    store = new_store(spark)
     tables = ["orders", "documents", "embeddings"]
     before = b.table(spark, sf_dir, "orders").filter("o_orderstatus = 'F'")
     seen = list_rows(before)
@@ -226,7 +221,7 @@ def evaluation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registered_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A domain per document source, registered twice; the second time with labels."""
-    store = _store(spark)
+    store = new_store(spark)
     documents = b.table(spark, sf_dir, "documents").filter("source IS NOT NULL")
     labels = b.table(spark, sf_dir, "labels")
 

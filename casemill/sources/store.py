@@ -119,11 +119,17 @@ class Store:
         tags = self.spark.read.schema(_TAGS).parquet(f"{self.root}/_tags")
         return tags.agg(F.max("stamp")).head()[0]
 
-    def read_tag(self, stamp: str, name: str) -> DataFrame:
-        """A table as it was when it was tagged."""
-        tags = self.spark.read.schema(_TAGS).parquet(f"{self.root}/_tags")
-        row = tags.filter((F.col("stamp") == stamp) & (F.col("name") == name)).head()
+    def read_tag(
+        self, stamp: str, name: str, empty: T.StructType | str | None = None
+    ) -> DataFrame:
+        """A table as it was when it was tagged; ``empty`` stands for one that didn't exist yet."""
+        tags = self.spark.read.schema(_TAGS).parquet(f"{self.root}/_tags").filter(
+            F.col("stamp") == stamp
+        )
+        row = tags.filter(F.col("name") == name).head()
         if row is None:
+            if empty is not None and not tags.isEmpty():
+                return self.spark.createDataFrame([], empty)
             raise ValueError(f"no table {name!r} under tag {stamp!r}")
         return self._open(name, row["folders"], _schema(row["columns"]))
 

@@ -20,6 +20,7 @@ def test_jobs_end_to_end(spark, tmp_path, capsys):
 
     out = str(tmp_path / "out")
     assert "inserted=3" in job("run", "--source", str(tmp_path / "in"), "--snapshots", str(tmp_path / "snap"))
+    first = Store(spark, store[1]).latest_tag()
     assert "changed=False" in job("run", "--source", str(tmp_path / "in"))
     assert "Maltrato Animal" in job("metrics")
     assert "Sin fecha" not in job("shares", "--domain", "salud")
@@ -37,6 +38,11 @@ def test_jobs_end_to_end(spark, tmp_path, capsys):
     assert read_status(Store(spark, store[1])).filter("NOT processed").count() == 2
     assert job("classify", "--domain", "salud").strip() == "{'salud': 0}"
     job("purge", "--period", "2026-03")
+    Store(spark, store[1]).tag("later")
+    job("difference", "--since", first, "--out", f"{out}/difference")
+    changed = spark.read.option("header", True).csv(f"{out}/difference/cases")
+    assert {tuple(r) for r in changed.collect()} == {("1", "removed"), ("2", "removed")}
+    assert spark.read.option("header", True).csv(f"{out}/difference/status").count() == 6
     assert read_status(Store(spark, store[1])).count() == 3
 
 
