@@ -169,6 +169,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     fingerprint, edited_fingerprint (hex digits; none for a text without words), near_edited and
     near_next. A null text is empty. A missing doc_id comes after all others; among rows of one
     doc_id the texts' hashes decide; rows that repeat both count as one document in the order.
+    Texts of any length are printed whole. An empty table gives an empty result; other columns are
+    ignored, whatever their names.
     """
     rows = docs.select(
         id_column(docs),

@@ -356,7 +356,8 @@ def predict(docs: DataFrame, field: Field | None) -> DataFrame:
 def accepted(docs: DataFrame, field: Field | None, least: float) -> DataFrame:
     """The rows of ``docs`` whose language is known with a score of ``least`` or more.
 
-    All columns stay as they are, and rows aren't moved.
+    All columns stay as they are, whatever their names, and rows aren't moved; a null text goes, an
+    empty table stays empty.
     """
     ship(docs.sparkSession)
     at = docs.columns.index("text")
@@ -411,7 +412,10 @@ def languages(docs: DataFrame) -> DataFrame:
     Returns doc_id, held_out, lang_pred and score. Learns from rows with a language whose checksum
     hasn't the held-out remainder; a null doc_id is neither held out nor learnt from. A text that
     is null or has no letter, or any text if there is nothing to learn from, is UNKNOWN with score
-    0. Words are runs of ASCII letters and bytes of other characters.
+    0. Words are runs of ASCII letters and bytes of other characters. Languages that tie share the
+    first place of their names' order. Every row gives a row, also those that repeat a doc_id; a
+    text of any length counts with all its words. An empty table gives an empty result; other
+    columns are ignored, whatever their names.
     """
     return predict(docs, learnt_field(docs)).select(
         "doc_id",

@@ -138,8 +138,11 @@ def mix_sources(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """How much of each document the mix takes.
 
     Returns each row's doc_id, size, source, source_size, target, ``draw`` (its seeded hash),
-    ``passes`` (how often the document is in the mix) and taken (size x passes). A null text has size 0; null sources are one
-    source, the last; rows that repeat a doc_id count each. The same seed gives the same mix.
+    ``passes`` (how often the document is in the mix) and taken (size x passes). A null text has
+    size 0; null sources are one source, the last; rows that repeat a doc_id count each, also those
+    without one. The same seed gives the same mix; of documents that tie in the seeded hash the
+    smaller doc_id is taken. Words of a text of any length are counted whole. An empty table gives
+    an empty result; other columns are ignored, whatever their names.
     """
     counted = docs.select(
         F.col("doc_id").cast("long"),

@@ -392,7 +392,9 @@ def near_duplicates(
     directly) and kept (doc_id = class_id). Words are split at ASCII white space, ASCII letter
     case is ignored; a text of fewer than ``width`` words is one shingle. A text without words, or
     a row without doc_id, links with nothing and is kept. Rows that repeat a doc_id are one
-    document; its smallest text is compared.
+    document; its smallest text is compared. A similarity of exactly ``threshold`` links (it is
+    compared as a fraction). Texts of any length are compared whole. An empty table gives an empty
+    result; other columns are ignored, whatever their names.
     """
     signed = staged(signatures(docs, width), "signatures")
     usable = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")

@@ -276,7 +276,10 @@ def pack_sequences(
 
     Returns a row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset. A null
     or empty text is its end id alone; rows that repeat a doc_id are packed each; pieces of full
-    length are sequences by themselves. Texts aren't moved: only lengths and checksums are.
+    length are sequences by themselves. Texts aren't moved: only lengths and checksums are. A null
+    doc_id is packed like any other. A text of any length is cut into pieces; pieces of equal
+    length may change places, which leaves as many sequences. An empty table gives an empty
+    result; other columns are ignored, whatever their names.
     """
     pieces = staged(token_pieces(docs, capacity, path), "pieces")
     columns = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]

@@ -224,7 +224,10 @@ SPAN_TYPE = "array<struct<kind:string,start:long,end:long,score:double>>"
 def personal_data(docs: DataFrame) -> DataFrame:
     """doc_id and the spans (kind, start, end in code points, score) of each row's whole text.
 
-    A null or empty text has no spans. Rows aren't moved.
+    A null or empty text has no spans. Rows aren't moved: each row, also one that repeats a doc_id
+    or has none, gives a row. Spans that start together stand in the order of ``KINDS``. A text of
+    any length is searched whole, in time that grows with its length. An empty table gives an
+    empty result; other columns are ignored, whatever their names.
     """
     ship(docs.sparkSession)
     return _per_text(docs, lambda text: find_spans(text), pa_spans(), f"doc_id long, spans {SPAN_TYPE}")
@@ -249,7 +252,10 @@ def redact(text: str | None) -> str | None:
 
 
 def redacted(docs: DataFrame) -> DataFrame:
-    """``docs`` with its texts redacted and n_chars, if there, counted again; no row is dropped."""
+    """``docs`` with its texts redacted and n_chars, if there, counted again; no row is dropped.
+
+    A null text stays null, an empty table empty; all other columns are carried along.
+    """
     ship(docs.sparkSession)
     names = docs.columns
     at = names.index("text")

@@ -310,7 +310,9 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Returns doc_id, held_out, score (0 to 1) and predicted (1 from CUT on). Labels of documents
     whose checksum has the held-out remainder aren't read; labels other than 0 and 1, and labels
     without a document, are left out; a document labelled twice counts twice. A null text is
-    empty; a null doc_id is not held out and has no label.
+    empty; a null doc_id is not held out and has no label. Every row gives a row, also those that
+    repeat a doc_id, and equal texts have equal scores. A text of any length is measured whole. An
+    empty table gives an empty result; other columns are ignored, whatever their names.
     """
     remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS
     counted = staged(document_statistics(docs), "statistics")

@@ -535,8 +535,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     Returns a row per input row: doc_id, n_bytes, n_removed, n_spans (maximal removed runs),
     kept_sha256 and kept_text (the remaining bytes). Strings are judged on the input. A null text
     is empty; rows without doc_id lose nothing and cover nothing; rows that repeat a doc_id don't
-    cover one another, and each loses what its own text repeats. A copy of a whole text goes whole if it has 50 bytes. Texts cross the
-    network once, for both the contexts and the removal. A text may have up to about 200 MB.
+    cover one another, and each loses what its own text repeats. A copy of a whole text goes whole
+    if it has 50 bytes. Texts cross the network once, for both the contexts and the removal; one of
+    more than ``LONGEST_PART`` bytes is looked at in parts. A text with more anchors than
+    2^NUMBER_BITS (about 200 MB) is refused with an error. An empty table gives an empty result;
+    other columns are ignored, whatever their names.
     """
     ship(docs.sparkSession)
     rows = docs.select(

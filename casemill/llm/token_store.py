@@ -331,7 +331,10 @@ def token_files(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Write token files of ``docs``, read them back and list their documents.
 
     Returns doc_id, start (ids of all documents before it), n_tokens and ids_crc32. The running
-    total is taken over the partitions' sums, one row a partition.
+    total is taken over the partitions' sums, one row a partition. A null text has the end id
+    only; a null doc_id comes first, rows that repeat a doc_id stand next to each other in any
+    order. A text of any length stands in one shard. An empty table gives an empty result; other
+    columns are ignored, whatever their names.
     """
     files = write_token_files(docs, path)
     totals = files.groupBy("part").agg(F.sum("n_tokens").alias("part_tokens"))

@@ -49,5 +49,11 @@ def with_clashing_columns(df):
     """The same rows with extra columns named like those the operators use inside."""
     from pyspark.sql import functions as F
 
-    names = ["size", "part", "lot", "spans", "node", "rep", "key", "bin", "grp", "label", "score"]
+    names = [
+        "size", "part", "lot", "spans", "node", "rep", "key", "bin", "grp", "label", "score",
+        "mark", "mark2", "id_key", "draw", "text_id", "kept_id", "class_id", "h1", "h2", "signature",
+        "first_id", "version", "batch", "payload", "shard", "block", "point", "statistics", "quality",
+        "piece", "start", "length", "offset", "place", "target", "taken", "passes", "n_tokens",
+        "token_ids", "decoded", "held_out", "lang_pred", "next_id", "edited", "own", "whole", "n_bytes",
+    ]
     return df.select("*", *[F.lit(n).alias(n) for n in names])
