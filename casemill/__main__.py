@@ -44,6 +44,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
         ("register", "add or replace domains and seed the cases that lack a status row"),
         ("sample", "draw the stratified sample"),
         ("evaluate", "measure an engine on the stratified sample"),
+        ("compact", "write the small folders of the tables together"),
         ("difference", "cases or status rows that changed since a tagged state"),
     ]:
         job = jobs.add_parser(name, help=text)
@@ -143,6 +144,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         cycle.purge_store(store, args.period, named)
         return
 
+    if args.job == "compact":
+        print(cycle.compact_store(store))
+        return
     if args.job == "difference":
         cases, status = cycle.tagged_difference(store, args.since, args.until)
         write_delimited(cases, f"{args.out}/cases", separator=",")

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -41,6 +41,7 @@ from casemill.operators.load import (
 from casemill.operators.status import missing_status, seed_status
 from casemill.operators.taxonomy import Domain, load_domains, taxonomy_frame, upsert_taxonomy
 from casemill.schema import STATUS, TAXONOMY
+from casemill.session import folder_bytes
 from casemill.sources.delimited import LOAD_ORDER, RAGGED, read_export
 from casemill.sources.keys import KEYS, MOST_PARTS, key_buckets, stored_keys, write_keys
 from casemill.sources.ledger import LEDGER, changed_sources, list_sources
@@ -55,6 +56,9 @@ from casemill.sources.store import (
 
 PENDING, DONE, CASES, DOMAINS = "status_pending", "status_done", "cases", "domains"
 LEFT = "left_status"
+#: Folders below this size are written together by a compaction.
+SMALL_BYTES = 1 << 30
+Stage = Callable[[str, DataFrame], DataFrame]
 LOAD = "load_id"
 
 STORED_STATUS = T.StructType([*STATUS.fields, T.StructField(LOAD, T.StringType())])
@@ -149,6 +153,17 @@ def load_rows(
     status row that a partial purge has left stays as it is. ``sources`` are ledger rows to record
     with the batch.
     """
+    with store.scratch() as stage:
+        return _load_rows(store, stage, rows, domains, sources)
+
+
+def _load_rows(
+    store: Store,
+    stage: Stage,
+    rows: DataFrame,
+    domains: Sequence[Domain],
+    sources: DataFrame | None,
+) -> LoadCounts:
     started = time.monotonic()
     register_domains(store, domains)
     names = [d.name for d in registered_domains(store)]
@@ -158,12 +173,12 @@ def load_rows(
         rejected=F.count(REASON),
         ragged=F.count_if(RAGGED),
     )
-    staged = store.staged("staging", tagged)
+    staged = stage("staging", tagged)
     good, buckets = accepted(staged), key_buckets(store)
     compact = len(store.folders(KEYS)) >= MOST_PARTS
     with stored_keys(store) as bucketed:
         known = bucketed if _known_keys(store) else read_cases(store).select("case_id")
-        wanted = store.staged("staging", new_keys(good, known, LOAD_ORDER, buckets))
+        wanted = stage("staging", new_keys(good, known, LOAD_ORDER, buckets))
         added_keys = wanted.select("case_id")
         whole = compact or not _known_keys(store)
         keys = write_keys(
@@ -257,6 +272,18 @@ def classify_store(
     max_passes: int | None = None,
 ) -> dict[str, int]:
     """C1 to C11 over the pending rows of the given domains (F9); returns what is left (A10)."""
+    with store.scratch() as stage:
+        return _classify_store(store, stage, domains, engine, keyword_filter, max_passes)
+
+
+def _classify_store(
+    store: Store,
+    stage: Stage,
+    domains: Sequence[Domain],
+    engine,
+    keyword_filter: bool,
+    max_passes: int | None,
+) -> dict[str, int]:
     pending = read_pending(store)
     names = [d.name for d in domains]
     waiting = pending.filter(F.col("domain").isin(names))
@@ -271,9 +298,9 @@ def classify_store(
             engine,
             max_passes,
             keyword_filter,
-            lambda df: store.staged("answers", df),
+            lambda df: stage("answers", df),
         )
-    staged = store.staged("staging", result)
+    staged = stage("staging", result)
     done = _write_status(store, DONE, staged.filter("processed"))
     left = _write_status(store, PENDING, staged.filter(~F.col("processed")))
     store.commit(append={DONE: done}, replace={PENDING: left})
@@ -302,14 +329,15 @@ def reset_store(
     if not parts:
         return
     touched = store.read_folders(DONE, parts)
-    staged = store.staged("staging", reset_status(touched, cases, prefixes, domains))
-    store.commit(
-        append={
-            DONE: _write_status(store, DONE, staged.filter("processed")),
-            PENDING: _write_status(store, PENDING, staged.filter(~F.col("processed"))),
-        },
-        drop={DONE: parts},
-    )
+    with store.scratch() as stage:
+        staged = stage("staging", reset_status(touched, cases, prefixes, domains))
+        store.commit(
+            append={
+                DONE: _write_status(store, DONE, staged.filter("processed")),
+                PENDING: _write_status(store, PENDING, staged.filter(~F.col("processed"))),
+            },
+            drop={DONE: parts},
+        )
 
 
 def purge_store(
@@ -362,6 +390,27 @@ def _left_status(
     return ({LEFT: part} if watch.get["n"] else {}), noted
 
 
+def compact_store(store: Store, small_bytes: int = SMALL_BYTES) -> dict[str, int]:
+    """Write the small folders of cases and status as one folder a table; how many went, by table.
+
+    Loads add a folder each, so without this the list of folders grows with the loads. Large
+    folders stay, so what is rewritten is bounded by the loads since the last time.
+    """
+    append, drop = {}, {}
+    for name in (CASES, PENDING, DONE):
+        small = [f for f in store.folders(name) if folder_bytes(store.spark, f) < small_bytes]
+        if len(small) > 1:
+            parts = [part_token(f) for f in small]
+            rows = store.read_folders(name, parts)
+            append[name] = (
+                _write_cases(store, rows) if name == CASES else _write_status(store, name, rows)
+            )
+            drop[name] = parts
+    if drop:
+        store.commit(append=append, drop=drop)
+    return {name: len(parts) for name, parts in drop.items()}
+
+
 def tagged_difference(
     store: Store, since: str, until: str | None = None
 ) -> tuple[DataFrame, DataFrame]:

@@ -97,6 +97,13 @@ def file_names(spark: SparkSession, path: str) -> frozenset[str]:
     return frozenset(entry.getPath().getName() for entry in listed)
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """What the files under a folder take, as their file system lists them."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.getContentSummary(place).getLength()
+
+
 def remove_staged(spark: SparkSession, path: str) -> None:
     """Remove what ``written`` has put at ``path``; nothing may read it any more."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -13,14 +13,15 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from casemill.session import file_names, path_exists
+from casemill.session import file_names, path_exists, remove_staged
 
 _LOG = "name string, version long, folders array<string>, columns string"
 _TAGS = "stamp string, name string, folders array<string>, columns string"
@@ -157,6 +158,21 @@ class Store:
         """Compute rows once into the store and read them from there; never committed."""
         return self.open_part(self.write_part(name, df))
 
+    @contextmanager
+    def scratch(self) -> Iterator[Callable[[str, DataFrame], DataFrame]]:
+        """``staged`` for a job that keeps nothing of it: the folders go when the block ends."""
+        parts: list[Part] = []
+
+        def stage(name: str, df: DataFrame) -> DataFrame:
+            parts.append(self.write_part(name, df))
+            return self.open_part(parts[-1])
+
+        try:
+            yield stage
+        finally:
+            for part in parts:
+                remove_staged(self.spark, part.folder)
+
     def commit(
         self,
         append: Mapping[str, Part] | None = None,

@@ -195,6 +195,30 @@ def test_a_store_without_keys_gets_them(spark, tmp_path, store):
         assert as_set(keys) == {("1",), ("2",), ("3",)}
 
 
+def test_compaction_keeps_rows_and_tags(spark, tmp_path, store):
+    source = land(tmp_path / "in", "a.csv", *FIRST)
+    stamp = run(spark, source, store).snapshot
+    land(tmp_path / "in", "b.csv", "9»a cat»2026-06-01»»")
+    run(spark, source, store)
+    cases, status = as_set(cycle.read_cases(store)), as_set(cycle.read_status(store))
+    assert cycle.compact_store(store) == {cycle.CASES: 2, cycle.DONE: 2}
+    assert [len(store.folders(n)) for n in (cycle.CASES, cycle.DONE)] == [1, 1]
+    assert as_set(cycle.read_cases(store)) == cases and as_set(cycle.read_status(store)) == status
+    assert cycle.compact_store(store) == {} and cycle.compact_store(store, 0) == {}
+    assert store.read_tag(stamp, cycle.CASES).count() == 3
+    assert run(spark, source, store, force=True).load.inserted == 0
+
+
+def test_jobs_leave_no_staging_folders(spark, tmp_path, store):
+    run(spark, land(tmp_path / "in", "a.csv", *FIRST), store)
+    cycle.reset_store(store, ["2026-03"])
+    calls = CallableEngine(lambda: lambda batch: ["NO_APLICA"] * len(batch))
+    cycle.classify_store(store, DOMAINS, calls)
+    for name in ("staging", "answers"):
+        folder = tmp_path / "store" / name
+        assert not folder.exists() or not list(folder.iterdir())
+
+
 def test_empty_batch(spark, tmp_path, store):
     source = land(tmp_path / "in", "a.csv")
     counts = cycle.load_rows(store, cycle.read_export(spark, source), DOMAINS)
