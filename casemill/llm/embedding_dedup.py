@@ -330,9 +330,11 @@ def _audit(threshold: float):
             queries, numbers = _unit(probes), probes["point"].to_numpy()
             others = ids[None, :] != numbers[:, None]
             total = int((_scan(own, queries, threshold) & others).sum())
+            caught = -1
             for beam in BEAMS:
-                found = linked_points(graph, own, queries, threshold, beam)
-                caught = sum(int(others[q, hits].sum()) for q, hits in enumerate(found))
+                if caught < total:  # else a wider beam finds them all as well
+                    found = linked_points(graph, own, queries, threshold, beam)
+                    caught = sum(int(others[q, hits].sum()) for q, hits in enumerate(found))
                 rows.append((row["label"], row["width"], beam, caught, total))
         names = [f.split()[0] for f in AUDIT_SCHEMA.split(", ")]
         kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
