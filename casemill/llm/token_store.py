@@ -28,6 +28,8 @@ from casemill.llm.tokens import END_ID, chunk_ids, vocabulary_path
 from casemill.session import staged
 
 MAGIC = b"RPGS"
+#: Chunks a worker remembers: writing files is a job by itself, so it may have more memory.
+REMEMBERED_CHUNKS = 1_000_000
 SHARD_IDS = 1 << 21
 #: The most frequent pairs are replaced first; what is left is counted again in the next round.
 RULES_A_ROUND = 4096
@@ -259,7 +261,7 @@ def write_token_files(
     path = path or vocabulary_path()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = chunk_ids(path)
+        ids = chunk_ids(path, REMEMBERED_CHUNKS)
         end = np.array([END_ID], "<u4").tobytes()
         part = TaskContext.get().partitionId()
         doc_ids: list[int | None] = []

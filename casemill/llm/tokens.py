@@ -19,6 +19,7 @@ import public_tokenizers
 VOCABULARY = "word_bpe_49k.json"
 #: The id that ends each document.
 END_ID = 1
+#: Chunks that a worker remembers, where it holds other models beside the encoder.
 CACHE_CHUNKS = 400_000
 LONGEST_CACHED = 40
 
@@ -53,11 +54,12 @@ _PROBES = (
 class ChunkIds(dict):
     """Little-endian unsigned 32-bit ids of white-space chunks, made on first use."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, most: int = CACHE_CHUNKS) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         super().__init__()
+        self.most = most
         self.older: dict[str, bytes] = {}
         self.library = Tokenizer.from_file(path)
         self.merge = self.library.model.tokenize
@@ -73,7 +75,7 @@ class ChunkIds(dict):
         if ids is None:
             ids = self.made(chunk)
         if len(chunk) <= LONGEST_CACHED:
-            if len(self) >= CACHE_CHUNKS // 2:
+            if len(self) >= self.most // 2:
                 self.older = dict(self)
                 self.clear()
             self[chunk] = ids
@@ -121,6 +123,6 @@ def _plain(text: str) -> bool:
 
 
 @functools.lru_cache(maxsize=2)
-def chunk_ids(path: str) -> ChunkIds:
-    """The encoder of this worker process for a vocabulary file."""
-    return ChunkIds(path)
+def chunk_ids(path: str, most: int = CACHE_CHUNKS) -> ChunkIds:
+    """The encoder of this worker process for a vocabulary file; it remembers ``most`` chunks."""
+    return ChunkIds(path, most)
