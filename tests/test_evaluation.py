@@ -9,6 +9,7 @@ from casemill.operators import evaluation as ev
 from casemill.operators.engines import CallableEngine, TermRules
 from casemill.operators.sampling import stratified_sample
 from casemill.operators.taxonomy import Domain
+from casemill.plans import queries
 from casemill.sources.delimited import write_rows
 
 PETS = Domain("pets", ("Dog", "Cat", "Bird", "Fish", "Mouse"))
@@ -66,6 +67,13 @@ def test_shipped_quotas():
         assert {c for d, c in fixed.SAMPLE_QUOTAS if d == domain} == set(categories)
 
 
+def test_sample_query_draws_its_whole_language_strata(spark):
+    drawn = queries.sample_strata(spark, "/root/testdata/sf0.01").filter("domain = 'language'")
+    assert as_set(drawn.groupBy("original_category").count()) == {
+        ("English", 35), ("German", 35), ("Spanish", 23), ("French", 47),
+    }
+
+
 def sample_of(spark, *rows):
     return spark.createDataFrame(
         [(*r[:3], "IA", r[3]) for r in rows],
