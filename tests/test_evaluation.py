@@ -74,6 +74,13 @@ def test_sample_query_draws_its_whole_language_strata(spark):
     }
 
 
+def test_evaluation_of_the_sample_covers_its_whole_language_strata(spark):
+    agreement = queries.evaluate_sample(spark, "/root/testdata/sf0.01")
+    assert as_set(agreement.filter("domain = 'language'"), "original_category", "total") == {
+        ("English", 35), ("German", 35), ("Spanish", 23), ("French", 47),
+    }
+
+
 def sample_of(spark, *rows):
     return spark.createDataFrame(
         [(*r[:3], "IA", r[3]) for r in rows],
