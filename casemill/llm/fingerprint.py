@@ -21,6 +21,8 @@ WIDTH = 5
 BIN_BITS = 8
 BINS = 1 << BIN_BITS
 BITS = 8
+#: Taken off the low bits, so that they fit a signed byte.
+LOWEST = 1 << (BITS - 1)
 #: Donors an empty bin tries in its sequence; if all are empty, the nearest by a hash is taken.
 TRIES = 8
 SEED = 11
@@ -102,17 +104,22 @@ def _with_fingerprint(df: DataFrame, text: Column, name: str) -> DataFrame:
         return F.coalesce(F.get(held, i), first, by_hash)
 
     filled = F.transform(donors, borrow)
-    packed = F.transform(filled, lambda h: h.bitwiseAND((1 << BITS) - 1).cast("int"))
+    # One signed byte a bin: rows of these are staged and shuffled.
+    packed = F.transform(
+        filled, lambda h: (h.bitwiseAND((1 << BITS) - 1) - LOWEST).cast("tinyint")
+    )
     return df.select(
         *keep,
-        F.when(held.isNotNull(), packed).otherwise(F.array().cast("array<int>")).alias(name),
+        F.when(held.isNotNull(), packed).otherwise(F.array().cast("array<tinyint>")).alias(name),
     )
 
 
 def packed_text(fingerprint: Column) -> Column:
     """The fingerprint as lowercase hex digits."""
     digits = F.array(*[F.lit(f"{v:02x}") for v in range(1 << BITS)])
-    return F.array_join(F.transform(fingerprint, lambda v: F.get(digits, v)), "")
+    return F.array_join(
+        F.transform(fingerprint, lambda v: F.get(digits, v.cast("int") + LOWEST)), ""
+    )
 
 
 def likeness(a: Column, b: Column) -> Column:

@@ -9,8 +9,18 @@ import struct
 
 import pytest
 import xxhash
-
-from casemill.llm.fingerprint import BIN_BITS, BINS, WIDTH, _donors, fingerprints
+from pyspark.sql import functions as F
+
+from casemill.llm.fingerprint import (
+    BIN_BITS,
+    BINS,
+    LOWEST,
+    WIDTH,
+    _donors,
+    _with_fingerprint,
+    fingerprints,
+    packed_text,
+)
 from tests.llm.helpers import awkward_rows, frame, row, with_clashing_columns, words
 from tests.conftest import plan_of
 
@@ -45,6 +55,15 @@ def test_edited_texts_follow_the_next_document(spark):
         assert len(got.fingerprint) == (2 * BINS if text.split() else 0)
 
 
+def test_a_bin_is_staged_as_one_byte(spark):
+    rows = frame(spark, [row(1, words(1, 60)), row(2, "")]).select("doc_id", "text")
+    made = _with_fingerprint(rows, F.col("text"), "own")
+    assert made.schema["own"].dataType.simpleString() == "array<tinyint>"
+    printed = {r.doc_id: r for r in made.select("doc_id", "own", packed_text(F.col("own")).alias("hex")).collect()}
+    assert bytes.fromhex(printed[1].hex) == bytes(v + LOWEST for v in printed[1].own)
+    assert len(printed[1].own) == BINS and printed[2].hex == ""
+
+
 def test_equal_texts_have_equal_fingerprints(spark):
     rows = awkward_rows() + [row(50, words(14, 80))]
     out = fingerprints(frame(spark, rows)).collect()
