@@ -257,11 +257,12 @@ def replace_domains(store: Store, domains: Sequence[Domain]) -> None:
 def cases_of(cases: DataFrame, waiting: DataFrame) -> DataFrame:
     """The cases of the loads that waiting status rows belong to: a superset of what they need.
 
-    The join is on the partition column, so loads without waiting rows aren't read when Spark
-    finds the list of loads small enough to prune by it. Which rows change is decided by the steps
-    themselves, so a wider superset gives the same result.
+    The join is on the partition column, so loads without waiting rows aren't read. The list of
+    loads, one row each, is broadcast: dealt by load, all cases of a load would go to one task.
+    Which rows change is decided by the steps themselves, so a wider superset gives the same
+    result.
     """
-    return cases.join(waiting.select(LOAD).distinct(), LOAD, "left_semi")
+    return cases.join(F.broadcast(waiting.select(LOAD).distinct()), LOAD, "left_semi")
 
 
 def classify_store(

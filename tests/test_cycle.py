@@ -137,6 +137,19 @@ def test_a_run_reads_the_texts_of_pending_loads_only(spark, tmp_path, store):
     assert "LeftSemi" in plan_of(needed)
 
 
+def test_cases_are_not_dealt_by_their_load(spark, tmp_path, store):
+    """All cases of a load have one load id: a shuffle by it would give them to one task."""
+    run(spark, land(tmp_path / "in", "a.csv", *FIRST), store, CallableEngine(lambda: lambda b: [None] * len(b)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        needed = cycle.cases_of(cycle.read_cases(store), cycle.read_pending(store))
+        plan = plan_of(needed)
+        assert as_set(needed, "case_id") == {("1",), ("2",), ("3",)}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_partial_purge_then_reload_keeps_the_other_rows(spark, tmp_path, store):
     source = land(tmp_path / "in", "a.csv", *FIRST)
     run(spark, source, store)
