@@ -5,6 +5,7 @@ Each one keeps its store in the session's shared folder under a name of its own.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +17,7 @@ from casemill.operators.taxonomy import taxonomy_frame
 from casemill.plans import bindings as b
 from casemill.plans import cycle
 from casemill.plans.queries import LINE_ORDER, MONTH, MONTHS
-from casemill.session import staging_path
+from casemill.session import folder_bytes, staging_path
 from casemill.sources.delimited import (
     LOAD_ORDER,
     RAGGED,
@@ -38,6 +39,10 @@ HEADERS = {
 }
 CASE_COLUMNS = list(HEADERS)
 
+#: Stored bytes of the tables behind one file of an export: a file whose fields hold line breaks is
+#: read by one task.
+EXPORT_BYTES = 32 << 20
+
 
 def new_store(spark: SparkSession) -> Store:
     return Store(spark, staging_path(spark, "store"))
@@ -100,6 +105,12 @@ def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _export_files(spark: SparkSession, sf_dir: str, tables: list[str], least: int) -> int:
+    """How many files an export of these tables has: more as they grow, so that none does."""
+    stored = sum(folder_bytes(spark, f"{sf_dir}/{name}.parquet") for name in tables)
+    return max(least, math.ceil(stored / EXPORT_BYTES))
+
+
 def _write_export(cases: DataFrame, path: str, files: int) -> None:
     rows = cases.select(*[F.col(c).alias(h) for c, h in HEADERS.items()])
     write_delimited(rows.repartition(files, HEADERS["case_id"]), path)
@@ -108,21 +119,23 @@ def _write_export(cases: DataFrame, path: str, files: int) -> None:
 def streamed_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exports that land twice, the second time all orders with other texts; then no more.
 
-    The stream takes two files a batch and is started anew each time.
+    The stream takes half of the first export's files a batch and is started anew each time.
     """
     store, cases = new_store(spark), b.cases(spark, sf_dir, register_date=False)
     cases = cases.withColumn("register_date", F.lit(None).cast("string"))
     landing, checkpoint = staging_path(spark, "landing"), staging_path(spark, "stream")
+    first = _export_files(spark, sf_dir, ["orders", "documents"], 4)
+    second = _export_files(spark, sf_dir, ["orders"], 3)
 
     def drain() -> None:
         start_intake(
-            store, f"{landing}/*", b.DOMAINS, checkpoint, files_per_batch=2
+            store, f"{landing}/*", b.DOMAINS, checkpoint, files_per_batch=math.ceil(first / 2)
         ).awaitTermination()
 
-    _write_export(_closed(cases), f"{landing}/first", 4)
+    _write_export(_closed(cases), f"{landing}/first", first)
     drain()
     _write_export(cases.withColumn("subject", F.concat_ws(" ", F.lit("later"), "priority")),
-                  f"{landing}/second", 3)
+                  f"{landing}/second", second)
     drain()
     drain()
     return cycle.read_cases(store).select("case_id", "subject", "entry_date")
@@ -156,7 +169,7 @@ def delimited_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("lang").alias("entry_date"),
         F.col("source").alias("register_date"),
     )
-    _write_export(documents, f"{path}/texts", 3)
+    _write_export(documents, f"{path}/texts", _export_files(spark, sf_dir, ["documents"], 3))
     kind = F.col("s_suppkey") % 3
     key = F.concat(F.lit("s"), F.col("s_suppkey").cast("string"))
     line = (
