@@ -2,8 +2,9 @@
 
 Rows that are all key and numbers are decided in one exchange (``new_rows``). Rows with texts are
 decided on keys and places alone (``new_keys``) against the bucketed key table, whose rows stay
-where they are; only the new rows are then fetched (``rows_at``), so a cumulative export whose rows
-are nearly all known moves nearly no texts.
+where they are; only the new rows are then fetched (``rows_at``). A batch that is stored in buckets
+of its own chunks (``numbered``) keeps its rows where they are in that step too: the numbers of the
+new rows go to the chunks, and no text moves, however many rows are new.
 """
 
 from __future__ import annotations
@@ -17,6 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 REASON = "reject_reason"
+#: The number of a row in its batch, and that of the rows numbered with it.
+ROW, CHUNK = "_row", "_chunk"
+#: A chunk has up to 2 ** CHUNK_BITS rows of one task, so no bucket of chunks gets many more rows.
+CHUNK_BITS = 20
 MISSING_KEY = "missing_key"
 NUL_CHARACTER = "nul_character"
 
@@ -78,6 +83,25 @@ def rows_at(
     return incoming.join(wanted.select(key, order), [key, order], "left_semi")
 
 
+def _chunk(row: Column) -> Column:
+    return F.shiftright(row, CHUNK_BITS)
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """Give each row a number and a chunk of its task. To be written once and read from there."""
+    return rows.withColumn(ROW, F.monotonically_increasing_id()).withColumn(
+        CHUNK, _chunk(F.col(ROW))
+    )
+
+
+def rows_numbered(incoming: DataFrame, wanted: DataFrame, buckets: int) -> DataFrame:
+    """``rows_at`` for a batch that lies in ``buckets`` buckets of its chunks: only the wanted
+    numbers move, if it runs under ``rows_stay_dealt``. They are looked up in a hash table, so the
+    rows aren't sorted either."""
+    places = wanted.select(ROW, _chunk(F.col(ROW)).alias(CHUNK)).repartition(buckets, CHUNK)
+    return rows_at(incoming, places.hint("shuffle_hash"), ROW, CHUNK)
+
+
 def load_accounting(
     tagged: DataFrame, stored_keys: DataFrame, key: str = "case_id"
 ) -> DataFrame:

@@ -31,17 +31,20 @@ from casemill.operators.lifecycle import (
     reset_status,
 )
 from casemill.operators.load import (
+    CHUNK,
     REASON,
+    ROW,
     accepted,
     new_keys,
+    numbered,
     rejected,
-    rows_at,
+    rows_numbered,
     tag_rejects,
 )
 from casemill.operators.status import missing_status, seed_status
 from casemill.operators.taxonomy import Domain, load_domains, taxonomy_frame, upsert_taxonomy
 from casemill.schema import STATUS, TAXONOMY
-from casemill.session import folder_bytes
+from casemill.session import folder_bytes, rows_stay_dealt
 from casemill.sources.delimited import LOAD_ORDER, RAGGED, read_export
 from casemill.sources.keys import KEYS, MOST_PARTS, key_buckets, stored_keys, write_keys
 from casemill.sources.ledger import LEDGER, changed_sources, list_sources
@@ -153,32 +156,54 @@ def load_rows(
     status row that a partial purge has left stays as it is. ``sources`` are ledger rows to record
     with the batch.
     """
-    with store.scratch() as stage:
-        return _load_rows(store, stage, rows, domains, sources)
-
-
-def _load_rows(
-    store: Store,
-    stage: Stage,
-    rows: DataFrame,
-    domains: Sequence[Domain],
-    sources: DataFrame | None,
-) -> LoadCounts:
     started = time.monotonic()
     register_domains(store, domains)
-    names = [d.name for d in registered_domains(store)]
     tagged, totals = _observed(
         tag_rejects(rows),
         processed=F.count(F.lit(1)),
         rejected=F.count(REASON),
         ragged=F.count_if(RAGGED),
     )
-    staged = stage("staging", tagged)
-    good, buckets = accepted(staged), key_buckets(store)
+    chunks = int(store.spark.conf.get("spark.sql.shuffle.partitions"))
+    with (
+        store.scratch() as stage,
+        store.bucketed("staging", numbered(tagged), CHUNK, chunks) as (staged, in_chunks),
+    ):
+        inserted, kept = _insert_new(store, stage, staged, in_chunks, chunks, sources)
+    counts = totals.get
+    return LoadCounts(
+        processed=counts["processed"],
+        inserted=inserted,
+        existing=counts["processed"] - counts["rejected"] - inserted,
+        rejected=counts["rejected"],
+        ragged=counts["ragged"],
+        kept=kept,
+        seconds=round(time.monotonic() - started, 3),
+    )
+
+
+def _insert_new(
+    store: Store,
+    stage: Stage,
+    staged: DataFrame,
+    in_chunks: DataFrame,
+    chunks: int,
+    sources: DataFrame | None,
+) -> tuple[int, int]:
+    """Commit the new rows of a staged batch, its keys, seeds and rejects; how many rows were
+    inserted, and how many status rows they had already.
+
+    ``in_chunks`` are the rows of ``staged`` as a relation in ``chunks`` buckets of ``CHUNK``.
+    """
+    names = [d.name for d in registered_domains(store)]
+    # Of rows that tie in their order the one with the smaller number is taken.
+    places = accepted(staged).select("case_id", F.struct(LOAD_ORDER, ROW).alias(LOAD_ORDER))
+    buckets = key_buckets(store)
     compact = len(store.folders(KEYS)) >= MOST_PARTS
     with stored_keys(store) as bucketed:
         known = bucketed if _known_keys(store) else read_cases(store).select("case_id")
-        wanted = stage("staging", new_keys(good, known, LOAD_ORDER, buckets))
+        firsts = new_keys(places, known, LOAD_ORDER, buckets)
+        wanted = stage("staging", firsts.select("case_id", F.col(LOAD_ORDER)[ROW].alias(ROW)))
         added_keys = wanted.select("case_id")
         whole = compact or not _known_keys(store)
         keys = write_keys(
@@ -187,17 +212,18 @@ def _load_rows(
             key_buckets(store, rewritten=whole),
         )
     fresh, inserts = _observed(
-        rows_at(good, wanted, LOAD_ORDER)
-        .drop(LOAD_ORDER, RAGGED)
+        rows_numbered(accepted(in_chunks), wanted, chunks)
+        .drop(LOAD_ORDER, RAGGED, ROW, CHUNK)
         .withColumn(LOAD, F.lit(uuid.uuid4().hex)),
         n=F.count(F.lit(1)),
     )
-    cases = _write_cases(store, fresh)
+    with rows_stay_dealt(store.spark):
+        cases = _write_cases(store, fresh)
     seeds, seeded = _observed(_seeds(store, store.open_part(cases), names), n=F.count(F.lit(1)))
     added = {
         CASES: cases,
         PENDING: _write_status(store, PENDING, seeds),
-        "rejects": store.write_part("rejects", rejected(staged)),
+        "rejects": store.write_part("rejects", rejected(staged).drop(ROW, CHUNK)),
     }
     if sources is not None:
         added["ledger"] = store.write_part("ledger", sources)
@@ -205,16 +231,8 @@ def _load_rows(
         store.commit(append=added, replace={KEYS: keys})
     else:
         store.commit(append={**added, KEYS: keys})
-    counts, n_inserted = totals.get, inserts.get["n"]
-    return LoadCounts(
-        processed=counts["processed"],
-        inserted=n_inserted,
-        existing=counts["processed"] - counts["rejected"] - n_inserted,
-        rejected=counts["rejected"],
-        ragged=counts["ragged"],
-        kept=n_inserted * len(names) - seeded.get["n"],
-        seconds=round(time.monotonic() - started, 3),
-    )
+    n_inserted = inserts.get["n"]
+    return n_inserted, n_inserted * len(names) - seeded.get["n"]
 
 
 def registered_domains(store: Store) -> list[Domain]:

@@ -7,6 +7,8 @@ import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,6 +39,21 @@ def build_session(app: str = "casemill", master: str | None = None, **extra: str
     return builder.getOrCreate()
 
 
+@contextmanager
+def rows_stay_dealt(spark: SparkSession) -> Iterator[None]:
+    """While the block runs, a join takes rows that lie in buckets of some of its keys as they lie.
+
+    Otherwise Spark deals them again by all keys of the join.
+    """
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate data that driver and executors share.
 

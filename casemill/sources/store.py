@@ -173,6 +173,26 @@ class Store:
             for part in parts:
                 remove_staged(self.spark, part.folder)
 
+    @contextmanager
+    def bucketed(
+        self, name: str, df: DataFrame, column: str, buckets: int
+    ) -> Iterator[tuple[DataFrame, DataFrame]]:
+        """``staged`` in buckets of a column, for a job that keeps nothing of it.
+
+        Every task writes the buckets of its own rows, so no row moves. The rows are given twice: as
+        a folder, whose files are split among tasks, and as a bucketed relation, whose rows stay
+        where they are in a join that deals the other side by this column into as many buckets.
+        """
+        part = Part(self.new_folder(name), df.schema)
+        table = f"casemill_{name}_{part_token(part.folder)}"
+        writer = df.write.format("parquet").option("compression", "zstd").bucketBy(buckets, column)
+        try:
+            writer.option("path", part.folder).saveAsTable(table)
+            yield self.open_part(part), self.spark.table(table)
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+            remove_staged(self.spark, part.folder)
+
     def commit(
         self,
         append: Mapping[str, Part] | None = None,

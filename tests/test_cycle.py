@@ -180,6 +180,39 @@ def test_a_load_reads_no_finished_status(spark, tmp_path, store):
     assert cycle.read_status(store).count() == 6
 
 
+def test_a_load_moves_no_texts(spark, tmp_path, store, monkeypatch):
+    """Which rows are new is decided on keys; the texts go from the staged batch to the cases."""
+    plans, write = [], cycle._write_cases
+
+    def noted(target, cases):
+        plans.append(plan_of(cases))
+        return write(target, cases)
+
+    monkeypatch.setattr(cycle, "_write_cases", noted)
+    source = land(tmp_path / "in", "a.csv", *FIRST)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        counts = cycle.load_rows(store, cycle.read_export(spark, source), DOMAINS)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert (counts.inserted, counts.existing) == (3, 1)
+    assert len(plans) == 1 and "subject" in plans[0] and plans[0].count("Exchange") == 1
+    assert "subject" not in plans[0][plans[0].index("Exchange"):]
+
+
+def test_rows_that_tie_are_one_case(spark, store):
+    rows = spark.createDataFrame(
+        [("1", "x"), ("1", "x"), ("2", "y"), ("2", "x"), (None, "x"), (None, "x")],
+        "case_id string, subject string",
+    ).selectExpr("*", "'2026-03-01' AS entry_date", "CAST(NULL AS STRING) AS register_date",
+                 "false AS was_ragged", "struct(subject) AS load_order")
+    counts = cycle.load_rows(store, rows, DOMAINS)
+    assert counts == cycle.LoadCounts(6, 2, 2, 2, 0)
+    assert cycle.read_cases(store).count() == 2
+    assert as_set(cycle.read_cases(store), "case_id", "subject") == {("1", "x"), ("2", "x")}
+    assert set(store.columns("rejects").fieldNames()).isdisjoint({"_row", "_chunk"})
+
+
 def test_keys_follow_loads_and_purges(spark, tmp_path, store, monkeypatch):
     """Every load adds a folder of keys until they are written as one; a purge takes keys out."""
     monkeypatch.setattr(cycle, "MOST_PARTS", 2)

@@ -11,6 +11,7 @@ from casemill.schema import STATUS, add_missing_columns
 from casemill.sources.delimited import (
     LOAD_ORDER, RAGGED, read_export, read_headers, write_delimited,
 )
+from casemill.session import rows_stay_dealt
 from casemill.sources.keys import KEYS, key_buckets, stored_keys, write_keys
 from casemill.sources.store import Store
 
@@ -160,6 +161,29 @@ def test_stored_keys_are_not_exchanged(spark, tmp_path, make_cases):
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("casemill_keys")]
 
 
+def test_rows_of_a_staged_batch_stay_where_they_are(spark, tmp_path, monkeypatch):
+    """Only the numbers of the wanted rows move to the buckets of the batch."""
+    monkeypatch.setattr(load, "CHUNK_BITS", 8)
+    store = Store(spark, str(tmp_path / "store"))
+    batch = load.numbered(spark.range(5_000).selectExpr("id", "repeat('text ', 20) AS subject"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with store.bucketed("staging", batch, load.CHUNK, 6) as (rows, in_chunks):
+            assert rows.select(load.CHUNK).distinct().count() > 8
+            wanted = store.staged("wanted", rows.filter("id % 7 = 0").select(load.ROW))
+            with rows_stay_dealt(spark):
+                found = load.rows_numbered(in_chunks, wanted, 6)
+                plan = plan_of(found)
+                assert as_set(found, "id") == {(i,) for i in range(0, 5_000, 7)}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Bucketed: true" in plan and plan.count("Exchange") == 1
+    assert "subject" not in plan[plan.index("Exchange"):]
+    assert not list((tmp_path / "store" / "staging").iterdir())
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("casemill_staging")]
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+
+
 def test_headers_of_many_files_take_one_job(spark, tmp_path):
     folder = tmp_path / "many files"
     folder.mkdir()
